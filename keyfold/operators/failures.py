@@ -140,6 +140,50 @@ def hot_keys(
     return busy.filter(F.col("busy_us") > F.lit(int(threshold * seconds * 1_000_000)))
 
 
+def failure_rates_stream(
+    calls: DataFrame,
+    window: Duration = FAILURE_WINDOW_SECONDS,
+    slide: Duration = 60,
+    threshold: float = FAILURE_THRESHOLD,
+    lateness: Duration = 0,
+) -> DataFrame:
+    """The failure gate on a stream: one row per topic and sliding window."""
+    return (
+        _in_windows(calls, window, slide, lateness)
+        .groupBy("topic", "window")
+        .agg(
+            F.count("*").alias("calls"), F.sum(F.col("failed").cast("long")).alias("failures")
+        )
+        .withColumn("defer_enabled", F.col("failures") <= F.lit(threshold) * F.col("calls"))
+    )
+
+
+def hot_keys_stream(
+    calls: DataFrame,
+    window: Duration = MONOPOLY_WINDOW_SECONDS,
+    slide: Duration = 60,
+    threshold: float = MONOPOLY_THRESHOLD,
+    lateness: Duration = 0,
+) -> DataFrame:
+    """Keys over their share of handler time, per sliding window of a stream."""
+    limit = int(threshold * duration_us(window, "window"))
+    return (
+        _in_windows(calls, window, slide, lateness)
+        .groupBy("topic", "key", "window")
+        .agg(F.sum("duration_us").alias("busy_us"))
+        .filter(F.col("busy_us") > limit)
+    )
+
+
+def _in_windows(
+    calls: DataFrame, window: Duration, slide: Duration, lateness: Duration
+) -> DataFrame:
+    texts = [f"{duration_us(d) // 1000} milliseconds" for d in (window, slide, lateness)]
+    return calls.withWatermark("timestamp", texts[2]).withColumn(
+        "window", F.window("timestamp", texts[0], texts[1])
+    )
+
+
 def deadline_us(timeout: Duration | None = None, stall_threshold: Duration = STALL_SECONDS) -> int:
     """The handler deadline: ``timeout``, or 80 % of the stall threshold."""
     if timeout is not None:

@@ -143,3 +143,24 @@ def first_by_id_stream(events: DataFrame, ttl: Duration = DEDUP_TTL_SECONDS) ->
 
 def _seconds_text(duration: Duration) -> str:
     return f"{duration_seconds(duration)} seconds"
+
+
+def incoming(
+    events: DataFrame,
+    *,
+    group_id: str,
+    allowed_events: Sequence[str] = (),
+    idempotence_ttl: Duration | None = None,
+) -> DataFrame:
+    """The events a consumer group handles: by type, not its own, each id once.
+
+    Cheap filters come first, so that only what is left is shuffled. A stream
+    remembers ids for ``idempotence_ttl`` (7 days by default); a batch without it
+    keeps the first of each id for good.
+    """
+    wanted = drop_own(allowed_types(events, allowed_events), group_id)
+    if events.isStreaming:
+        return first_by_id_stream(wanted, idempotence_ttl or DEDUP_TTL_SECONDS)
+    if idempotence_ttl is None:
+        return first_by_id(wanted)
+    return first_by_id_within(wanted, idempotence_ttl)

@@ -66,7 +66,7 @@ def cart_items(events: DataFrame, item: str, *, chunk_rows: int = CHUNK_ROWS) ->
 
     One row per item instead of a list, so a cart may grow without bound.
     """
-    items = after_excise(events, chunk_rows=chunk_rows).select(
+    items = after_excise(events).select(
         *ENTITY, "offset", field(F.col("payload"), item).alias("item")
     )
     placed = with_scan(
@@ -76,11 +76,9 @@ def cart_items(events: DataFrame, item: str, *, chunk_rows: int = CHUNK_ROWS) ->
     return placed.withColumn("place", F.col("place") - 1).drop("offset")
 
 
-def cart_summary(
-    events: DataFrame, item: str, total: str, capacity: int, *, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
+def cart_summary(events: DataFrame, item: str, total: str, capacity: int) -> DataFrame:
     """Per key: items gathered, the last total, and the ends of the bounded backlog."""
-    alive = after_excise(events, chunk_rows=chunk_rows).select(
+    alive = after_excise(events).select(
         *ENTITY, "offset", "timestamp",
         field(F.col("payload"), item).alias("item"),
         field(F.col("payload"), total).cast("long").alias("total"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from keyfold.functions.payload import is_json, is_json_null
 from keyfold.functions.times import Duration, duration_us
 from keyfold.plans.chunked import CHUNK_ROWS, with_rank, with_scan
+from keyfold.plans.joins import after_last_mark
 from keyfold.sources.events import ENTITY, POSITION
 
 DIRECTIONS = ("forward", "backward")
@@ -45,20 +46,19 @@ def value_snapshot(writes: DataFrame) -> DataFrame:
     )
 
 
-def map_snapshot(writes: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def map_snapshot(writes: DataFrame) -> DataFrame:
     """Present map entries, one row per (key, map_key).
 
-    Writes are reduced to one per cell first; a clear counts as the cell with a
-    null map key. A cell survives if its last write is a set after the last clear.
+    Writes are reduced to the last one per cell first. A cell survives if that is a
+    set, and comes after the key's last clear.
     """
-    keyed = writes.withColumn("map_key", F.when(F.col("op") != "clear", F.col("map_key")))
-    cells = _latest(keyed, [*ENTITY, "map_key"], ["op", "value", "timestamp"])
-    cleared_at = F.when(F.col("map_key").isNull(), F.col("offset"))
-    scanned = with_scan(
-        cells, ENTITY, "offset", totals={"_cleared": ("max", cleared_at)}, chunk_rows=chunk_rows
+    cells = _latest(
+        writes.filter("op != 'clear'"), [*ENTITY, "map_key"], ["op", "value", "timestamp"]
     )
-    alive = F.col("_cleared").isNull() | (F.col("offset") > F.col("_cleared"))
-    return scanned.filter((F.col("op") == "set") & alive).drop("op", "_cleared")
+    alive = after_last_mark(
+        cells.filter("op = 'set'"), ENTITY, "offset", F.col("op") == "clear", marks_from=writes
+    )
+    return alive.drop("op")
 
 
 def map_items(entries: DataFrame, direction: str = "forward") -> DataFrame:
@@ -105,18 +105,10 @@ def map_contains(entries: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
-def _after_clear(writes: DataFrame, chunk_rows: int) -> DataFrame:
-    cleared_at = F.when(F.col("op") == "clear", F.col("offset"))
-    scanned = with_scan(
-        writes, ENTITY, "offset", totals={"_cleared": ("max", cleared_at)}, chunk_rows=chunk_rows
-    )
-    alive = F.col("_cleared").isNull() | (F.col("offset") > F.col("_cleared"))
-    return scanned.filter(alive).drop("_cleared")
-
-
 def deque_slots(writes: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Deque contents: one row per slot with ``position`` from the front and ``size``."""
-    pushes = _after_clear(writes, chunk_rows).filter(F.col("op").isin("append", "appendleft"))
+    alive = after_last_mark(writes, ENTITY, "offset", F.col("op") == "clear")
+    pushes = alive.filter(F.col("op").isin("append", "appendleft"))
     left = F.when(F.col("op") == "appendleft", 1).otherwise(0).cast("long")
     counted = with_scan(
         pushes, ENTITY, "offset",
@@ -252,14 +244,11 @@ def committed_writes(attempt_ops: DataFrame, *, read_uncommitted: bool = False)
     )
 
 
-def after_excise(events: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def after_excise(events: DataFrame) -> DataFrame:
     """Messages that are left of each key once its excise records have taken effect."""
-    excised_at = F.when(F.col("payload").isNull(), F.col("offset"))
-    scanned = with_scan(
-        events, ENTITY, "offset", totals={"_excised": ("max", excised_at)}, chunk_rows=chunk_rows
+    return after_last_mark(events, ENTITY, "offset", F.col("payload").isNull()).filter(
+        F.col("payload").isNotNull()
     )
-    alive = F.col("_excised").isNull() | (F.col("offset") > F.col("_excised"))
-    return scanned.filter(F.col("payload").isNotNull() & alive).drop("_excised")
 
 
 def rejected_writes(writes: DataFrame) -> DataFrame:

@@ -435,3 +435,15 @@ def bind(
             f"collection {definition.name!r} is declared as {declared.payload} {declared.kind}"
         )
     return HANDLES[declared.kind](cells, attempt)
+
+
+def final_state(cells: KeyCells, now_us: int) -> Iterator[tuple[str | None, int | None, str]]:
+    """The key's live cells as (cell, size, text); a deque's cells are its positions."""
+    handle = HANDLES[cells.definition.kind](cells, Attempt(now_us))
+    live = handle._all()
+    if not isinstance(handle, DequeState):
+        yield from ((cell, None, text) for cell, text in live.items())
+        return
+    front, back = handle._ends()
+    live.pop(ENDS_CELL, None)
+    yield from ((str(slot - front), back - front, text) for slot, text in live.items())

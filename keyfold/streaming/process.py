@@ -134,7 +134,11 @@ def call_rows(rows: DataFrame) -> DataFrame:
 def collection_rows(rows: DataFrame, definition: Collection) -> DataFrame:
     """A collection's final state from a batch run made with ``with_state``."""
     mine = rows.filter((F.col("kind") == "state") & (F.col("name") == definition.name))
-    return _shaped(mine.select(*ENTITY, "cell", "value"), definition)
+    if definition.kind == "value":
+        return mine.select(*ENTITY, "value")
+    if definition.kind == "map":
+        return mine.select(*ENTITY, F.col("cell").alias("map_key"), "value")
+    return mine.select(*ENTITY, F.col("cell").cast("long").alias("position"), "size", "value")
 
 
 def committed_state(spark: SparkSession, checkpoint: str, definition: Collection) -> DataFrame:
@@ -145,29 +149,17 @@ def committed_state(spark: SparkSession, checkpoint: str, definition: Collection
     reader = spark.read.format("statestore").option("stateVarName", definition.name)
     raw = reader.load(checkpoint)
     if definition.kind == "value":
-        cells = raw.select("key.*", F.lit(None).cast("string").alias("cell"),
-                           F.col("value.v").alias("value"))
-    else:
-        name = "k" if definition.kind == "map" else "slot"
-        cells = raw.select("key.*", F.col(f"user_map_key.{name}").cast("string").alias("cell"),
-                           F.col("user_map_value.v").alias("value"))
-    return _shaped(cells, definition)
-
-
-def _shaped(cells: DataFrame, definition: Collection) -> DataFrame:
-    if definition.kind == "value":
-        return cells.select(*ENTITY, "value")
+        return raw.select("key.*", F.col("value.v").alias("value"))
+    cell = F.col("user_map_key.k" if definition.kind == "map" else "user_map_key.slot")
+    cells = raw.select("key.*", cell.alias("cell"), F.col("user_map_value.v").alias("value"))
     if definition.kind == "map":
-        return cells.select(*ENTITY, F.col("cell").alias("map_key"), "value")
-    ends_cell = F.col("cell") == str(ENDS_CELL)
-    ends = cells.filter(ends_cell).select(
+        return cells.withColumnRenamed("cell", "map_key")
+    ends = cells.filter(F.col("cell") == ENDS_CELL).select(
         *ENTITY, F.from_json("value", "array<long>").alias("ends")
     )
-    slots = cells.filter(~ends_cell).join(ends, ENTITY)
     front, back = F.col("ends")[0], F.col("ends")[1]
-    return slots.select(
-        *ENTITY, (F.col("cell").cast("long") - front).alias("position"),
-        (back - front).alias("size"), "value",
+    return cells.filter(F.col("cell") != ENDS_CELL).join(ends, ENTITY).select(
+        *ENTITY, (F.col("cell") - front).alias("position"), (back - front).alias("size"), "value"
     )
 
 

@@ -22,14 +22,14 @@ from keyfold.definitions import Collection
 from keyfold.errors import PermanentError, category
 from keyfold.functions.times import SECOND_US
 from keyfold.streaming.handles import (
-    AsyncView, Attempt, Handle, KeyCells, SparkCells, bind, encode_json,
+    AsyncView, Attempt, Handle, KeyCells, SparkCells, bind, encode_json, final_state,
 )
 from keyfold.streaming.messages import Timer, deliver, from_us, nearest_second
 
 OUTPUT_SCHEMA = (
     "kind string, topic string, key string, call string, partition int, offset long, "
     "time timestamp, attempt int, outcome string, category string, name string, cell string, "
-    "value string, error string"
+    "size long, value string, error string"
 )
 _FIELDS = [part.split()[0] for part in OUTPUT_SCHEMA.split(", ")]
 
@@ -361,10 +361,10 @@ class KeyedProcessor(StatefulProcessor):
     # Rows
 
     def _row(self, kind, run, call, attempt, outcome, category_=None, *, name=None,
-             cell=None, value=None, error=None) -> Row:
+             cell=None, size=None, value=None, error=None) -> Row:
         return Row(*_FIELDS)(
             kind, run.topic, run.key, call["call"], call.get("partition"), call.get("offset"),
-            from_us(call["us"]), attempt, outcome, category_, name, cell, value,
+            from_us(call["us"]), attempt, outcome, category_, name, cell, size, value,
             None if error is None else str(error),
         )
 
@@ -373,18 +373,18 @@ class KeyedProcessor(StatefulProcessor):
         if not self._with_state:
             return
         for cells in run.cells.values():
-            for cell, content in cells.scan():
-                if content[1] is None or content[1] > run.clock:
-                    yield self._row(
-                        "state", run, {"call": None, "us": run.clock}, 0, None,
-                        name=cells.definition.name,
-                        cell=None if cell is None else str(cell), value=content[0],
-                    )
+            end = {"call": None, "us": run.clock}
+            for cell, size, text in final_state(cells, run.clock):
+                yield self._row(
+                    "state", run, end, 0, None, name=cells.definition.name,
+                    cell=cell, size=size, value=text,
+                )
 
 
 def _record_call(row: Row) -> dict:
     return {
         "call": "on_excise" if row.payload is None else "on_message",
         "partition": row.partition, "offset": row.offset, "us": row.us,
-        "payload": row.payload, "headers": row.headers,
+        # Spark hands a map over as a list of pairs.
+        "payload": row.payload, "headers": dict(row.headers or ()),
     }

@@ -31,7 +31,11 @@ def instant(column: str) -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log, without redelivered copies."""
-    raw = table(spark, sf_dir, "events")
+    return event_log(table(spark, sf_dir, "events"))
+
+
+def event_log(raw: DataFrame) -> DataFrame:
+    """Rows of the events table, batch or stream, as events."""
     number = F.col("event_id")
     body = F.to_json(
         F.struct(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from keyfold.definitions import message_deque, value
-from keyfold.streaming import EventHandler, output_rows, process_keyed
+from keyfold.session import shared_dir
+from keyfold.streaming import EventHandler, check_no_late_rows, output_rows, process_keyed
 from workload import inputs, jobs
 
 QUERIES, ORACLES = {}, {}
@@ -50,19 +52,42 @@ class BurstHandler(EventHandler):
         context.clear_scheduled()
 
 
-def b_process_keyed_batch(spark, sf_dir):
-    events = inputs.events(spark, sf_dir).drop("headers")
-    rows = process_keyed(events, BurstHandler(), [WINDOW, PENDING])
+def _summaries(outputs):
     summary = F.from_json(
         "value",
         "open_offset long, held long, last_offset long, close_second long, summarised long",
     )
-    return output_rows(rows).select("key", summary.alias("s")).select("key", "s.*")
+    return outputs.select("key", summary.alias("s")).select("key", "s.*")
+
+
+def b_process_keyed_batch(spark, sf_dir):
+    events = inputs.events(spark, sf_dir).drop("headers")
+    return _summaries(output_rows(process_keyed(events, BurstHandler(), [WINDOW, PENDING])))
+
+
+def b_process_keyed_stream(spark, sf_dir):
+    """The same handler over a file stream, run until all input is processed."""
+    source = inputs.table(spark, sf_dir, "events").schema
+    raw = (
+        spark.readStream.schema(source).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+    events = inputs.event_log(raw).drop("headers")
+    rows = process_keyed(events, BurstHandler(), [WINDOW, PENDING])
+    folder = f"{shared_dir(spark)}/burst-{uuid.uuid4().hex}"
+    query = (
+        output_rows(rows).writeStream.format("parquet").outputMode("append")
+        .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    check_no_late_rows(query)
+    return _summaries(spark.read.parquet(f"{folder}/out"))
 
 
 QUERIES["b_process_keyed_batch"] = b_process_keyed_batch
+QUERIES["b_process_keyed_stream"] = b_process_keyed_stream
 # Windows whose key was excised before they closed send no summary.
-ORACLES["b_process_keyed_batch"] = f"""
+_CLOSED = f"""
 WITH RECURSIVE {jobs.BURSTS}
 SELECT key, open_off AS open_offset, close AS close_second, count(*) - 1 AS held,
   least(count(*) - 1, 3) AS summarised, max(off) AS last_offset
@@ -70,3 +95,8 @@ FROM w WHERE NOT tomb AND NOT EXISTS (
   SELECT 1 FROM ev t WHERE t.key = w.key AND t.tomb AND t.off > w.open_off
     AND t.us // 1000000 < w.close)
 GROUP BY key, open_off, close"""
+ORACLES["b_process_keyed_batch"] = _CLOSED
+# A stream closes windows up to its watermark: the newest event, in milliseconds.
+ORACLES["b_process_keyed_stream"] = (
+    _CLOSED + " HAVING close * 1000 <= (SELECT max(us) // 1000 FROM ev)"
+)
