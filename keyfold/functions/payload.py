@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,14 +13,20 @@ def field(payload: Column, name: str) -> Column:
     return F.get_json_object(payload, f"$.{name}")
 
 
-def json_type(payload: Column, name: str) -> Column:
-    """JSON type of a top-level field, such as ``STRING`` or ``BIGINT``; null if absent.
+def json_types(payload: Column, names: Sequence[str]) -> Column:
+    """Struct of the JSON types of top-level fields, such as ``STRING`` or ``BIGINT``.
 
-    A field declared as text must be JSON text: ``from_json`` would turn a number
-    into text without complaint, so the check reads the type itself.
+    Null where a field is absent. A field declared as text must be JSON text:
+    ``from_json`` would turn a number into text without complaint, so the check reads
+    the type itself.
     """
-    item = F.try_variant_get(F.try_parse_json(payload), f"$.{name}", "variant")
-    return F.schema_of_variant(item)
+    parsed = F.try_parse_json(payload)
+    return F.struct(
+        *[
+            F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant")).alias(name)
+            for name in names
+        ]
+    )
 
 
 def is_json(text: Column) -> Column:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyfold.functions.payload import field, json_type
+from keyfold.functions.payload import field, json_types
 from keyfold.functions.times import Duration, duration_us
-from keyfold.operators.state import after_excise, bounded_deque
+from keyfold.operators.state import after_excise
 from keyfold.plans.chunked import CHUNK_ROWS, with_scan
 from keyfold.sources.events import ENTITY
 
@@ -61,12 +61,19 @@ def counters(
     )
 
 
-def cart_items(events: DataFrame, item: str, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def cart_items(
+    events: DataFrame,
+    item: str,
+    schema: dict[str, str] | None = None,
+    *,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
     """Item ids each key gathered, in order: topic, key, ``place`` from 0, ``item``.
 
-    One row per item instead of a list, so a cart may grow without bound.
+    One row per item instead of a list, so a cart may grow without bound. Payloads
+    that do not fit ``schema`` are left out.
     """
-    items = after_excise(events).select(
+    items = _accepted(events, schema).select(
         *ENTITY, "offset", field(F.col("payload"), item).alias("item")
     )
     placed = with_scan(
@@ -76,25 +83,45 @@ def cart_items(events: DataFrame, item: str, *, chunk_rows: int = CHUNK_ROWS) ->
     return placed.withColumn("place", F.col("place") - 1).drop("offset")
 
 
-def cart_summary(events: DataFrame, item: str, total: str, capacity: int) -> DataFrame:
-    """Per key: items gathered, the last total, and the ends of the bounded backlog."""
-    alive = after_excise(events).select(
-        *ENTITY, "offset", "timestamp",
+def cart_summary(
+    events: DataFrame,
+    item: str,
+    total: str,
+    capacity: int,
+    schema: dict[str, str] | None = None,
+) -> DataFrame:
+    """Per key: items gathered, the last total, and the ends of the bounded backlog.
+
+    The backlog is the last ``capacity`` items, so counts and ends come out of partial
+    aggregates and a group limit; no list is built.
+    """
+    alive = _accepted(events, schema).select(
+        *ENTITY, "offset",
         field(F.col("payload"), item).alias("item"),
         field(F.col("payload"), total).cast("long").alias("total"),
     )
-    backlog = bounded_deque(
-        alive.withColumns({"op": F.lit("append"), "value": F.col("item")}), capacity
-    )
-    ends = backlog.groupBy(*ENTITY).agg(
-        F.min_by("value", "position").alias("oldest"),
-        F.max_by("value", "position").alias("newest"),
-        F.max("size").alias("backlog"),
+    newest = Window.partitionBy(*ENTITY).orderBy(F.desc("offset"))
+    oldest = (
+        alive.withColumn("_back", F.row_number().over(newest))
+        .filter(F.col("_back") <= capacity)
+        .groupBy(*ENTITY)
+        .agg(F.max_by("item", "_back").alias("oldest"), F.count("*").alias("backlog"))
     )
     whole = alive.groupBy(*ENTITY).agg(
-        F.count("*").alias("items"), F.max_by("total", "offset").alias("last_total")
+        F.count("*").alias("items"),
+        F.max_by(F.struct("total", "item"), "offset").alias("last"),
+    )
+    return whole.join(oldest, ENTITY).select(
+        *ENTITY, "items", F.col("last.total").alias("last_total"), "oldest",
+        F.col("last.item").alias("newest"), "backlog",
     )
-    return whole.join(ends, ENTITY)
+
+
+def _accepted(events: DataFrame, schema: dict[str, str] | None) -> DataFrame:
+    alive = after_excise(events)
+    if schema is None:
+        return alive
+    return check_schema(alive, schema).filter("reject_reason IS NULL")
 
 
 def check_schema(events: DataFrame, fields: dict[str, str]) -> DataFrame:
@@ -104,13 +131,15 @@ def check_schema(events: DataFrame, fields: dict[str, str]) -> DataFrame:
     ``array`` or ``object``. A rejected payload is a permanent failure. Excise
     records carry no payload and pass.
     """
+    types = json_types(F.col("payload"), list(fields))
     problem = F.lit(None).cast("string")
     for name, wanted in reversed(fields.items()):
-        found = json_type(F.col("payload"), name)
-        fits = F.coalesce(found.rlike(_VARIANT_TYPES[wanted]), F.lit(False))
+        fits = F.coalesce(F.col(f"_types.{name}").rlike(_VARIANT_TYPES[wanted]), F.lit(False))
         problem = F.when(~fits, F.lit(f"{name} must be {wanted}")).otherwise(problem)
-    return events.withColumn(
-        "reject_reason", F.when(F.col("payload").isNotNull(), problem)
+    return (
+        events.withColumn("_types", types)
+        .withColumn("reject_reason", F.when(F.col("payload").isNotNull(), problem))
+        .drop("_types")
     )
 
 

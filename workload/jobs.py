@@ -12,6 +12,8 @@ from workload.inputs import AS_OF, DAY, EV, ORDER_EVENTS
 
 QUERIES, ORACLES = {}, {}
 
+_ORDER = {"order_id": "string", "total": "integer"}
+
 
 def j1_counter(spark, sf_dir):
     counts = jobs.counters(inputs.events(spark, sf_dir), timedelta(days=4), AS_OF)
@@ -31,18 +33,18 @@ def j2_burst_held(spark, sf_dir):
 
 
 def j3_cart(spark, sf_dir):
-    carts = jobs.cart_summary(_good_orders(spark, sf_dir), "order_id", "total", capacity=5)
+    orders = inputs.order_events(spark, sf_dir)
+    carts = jobs.cart_summary(orders, "order_id", "total", 5, _ORDER)
     return carts.select("key", "items", "last_total", "oldest", "newest", "backlog")
 
 
 def j3_cart_items(spark, sf_dir):
-    return jobs.cart_items(_good_orders(spark, sf_dir), "order_id").select("key", "place", "item")
+    items = jobs.cart_items(inputs.order_events(spark, sf_dir), "order_id", _ORDER)
+    return items.select("key", "place", "item")
 
 
 def j4_schema_check(spark, sf_dir):
-    checked = jobs.check_schema(
-        inputs.order_events(spark, sf_dir), {"order_id": "string", "total": "integer"}
-    )
+    checked = jobs.check_schema(inputs.order_events(spark, sf_dir), _ORDER)
     return checked.select("key", "offset", "reject_reason")
 
 
@@ -59,13 +61,6 @@ def j5_state_machine(spark, sf_dir):
     return moves.select("key", "offset", "from_state", "to_state", "allowed")
 
 
-def _good_orders(spark, sf_dir):
-    checked = jobs.check_schema(
-        inputs.order_events(spark, sf_dir), {"order_id": "string", "total": "integer"}
-    )
-    return checked.filter("reject_reason IS NULL").drop("reject_reason")
-
-
 def _register(function, sql):
     QUERIES[function.__name__] = function
     ORACLES[function.__name__] = sql
