@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from keyfold.functions.payload import field
 from keyfold.functions.times import Duration, duration_seconds, second_of
 from keyfold.plans.greedy import greedy_periods
+from keyfold.plans.joins import broadcast_if_small
 from keyfold.sources.events import ENTITY, POSITION
 from keyfold.sources.sinks import SOURCE_HEADER
 
@@ -115,11 +116,13 @@ def not_processed(
 def after_offsets(events: DataFrame, progress: DataFrame) -> DataFrame:
     """Skip events at or before the last processed offset of their partition.
 
-    ``progress`` has one row per partition: topic, partition, last_offset.
+    ``progress`` has topic, partition and last_offset. There is one row per partition
+    after the aggregate, so it is broadcast once counted, and a partition that holds
+    much of the log stays spread.
     """
     last = progress.groupBy("topic", "partition").agg(F.max("last_offset").alias("last_offset"))
     return (
-        events.join(last, ["topic", "partition"], "left")
+        events.join(broadcast_if_small(last), ["topic", "partition"], "left")
         .filter(F.col("last_offset").isNull() | (F.col("offset") > F.col("last_offset")))
         .select(*events.columns)
     )

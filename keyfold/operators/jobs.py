@@ -30,7 +30,7 @@ def counters(
         F.col("payload").isNull().alias("excised"),
     )
     stepped = with_scan(
-        narrow, ENTITY, "offset", chunk_rows=chunk_rows,
+        narrow, ENTITY, "offset", chunk_rows=chunk_rows, keep_chunk=True,
         previous={"_was_us": F.col("us"), "_was_excised": F.col("excised")},
     )
     restart = (
@@ -40,7 +40,7 @@ def counters(
     )
     spans = with_scan(
         stepped.withColumn("_restart", restart.cast("long")).drop("_was_us", "_was_excised"),
-        ENTITY, "offset", chunk_rows=chunk_rows, running={"span": ("sum", F.col("_restart"))},
+        ENTITY, "offset", chunk=F.col("_chunk"), running={"span": ("sum", F.col("_restart"))},
     )
     counts = spans.groupBy(*ENTITY, "span").agg(
         F.sum(F.when(F.col("excised"), 0).otherwise(1)).alias("n"),

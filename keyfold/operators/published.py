@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from keyfold.definitions import Collection, check_collections, check_read_cache
 from keyfold.functions.times import Duration, duration_us
 from keyfold.operators import state
+from keyfold.plans.joins import broadcast_if_small
 from keyfold.sources.events import ENTITY
 
 # Fixed value: how long a reader may go on with the batch it resolved.
@@ -43,7 +44,7 @@ def newest_snapshot(
             F.max(F.struct("batch_time", "batch_id")).alias("_newest")
         )
     ).select("subsystem", "collection", "group_id", F.col("_newest.batch_id").alias("batch_id"))
-    rows = usable.join(chosen, ["subsystem", "collection", "group_id", "batch_id"])
+    rows = usable.join(broadcast_if_small(chosen), ["subsystem", "collection", "group_id", "batch_id"])
     limit = F.lit(None) if staleness is None else F.lit(
         as_of - timedelta(microseconds=duration_us(staleness, "staleness"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from keyfold.functions.payload import is_json
 from keyfold.functions.times import Duration, duration_us
+from keyfold.plans.joins import broadcast_if_small
 
 # The texts of response errors.
 TIMEOUT_TEXT = "no response arrived before the deadline"
@@ -74,7 +75,7 @@ def first_responses(responses: DataFrame, groups: DataFrame) -> DataFrame:
     order = F.struct("timestamp", "offset")
     answer = F.struct(F.unix_micros("timestamp").alias("answered_us"), "content_type", "body", "error")
     return (
-        responses.join(groups, "group_id")
+        responses.join(broadcast_if_small(groups), "group_id")
         .groupBy("request_id", "subsystem")
         .agg(F.min_by(answer, order).alias("answer"))
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.functions.times import SECOND_US, timer_second
@@ -27,23 +27,34 @@ def scheduled_timers(commands: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> Da
     Commands are reduced to the last one per (key, second), with a key's clears as
     the cell without a second, before anything is compared across a key.
     """
+    def last(*ops: str) -> Column:
+        return F.max(F.when(F.col("op").isin(*ops), F.col("offset")))
+
     second = F.when(F.col("op") != "clear_scheduled", timer_second(F.col("time")))
     cells = (
         commands.withColumn("second", second)
         .groupBy(*ENTITY, "second")
         .agg(
-            F.max("offset").alias("offset"),
-            F.max_by("op", "offset").alias("op"),
-            F.max(F.when(F.col("op").isin(*_CLEARING), F.col("offset"))).alias("clears_at"),
+            last(*_SETTING).alias("set_at"),
+            last("unschedule").alias("removed_at"),
+            last(*_CLEARING).alias("cleared_at"),
         )
+        .withColumn("place", F.greatest("set_at", "removed_at", "cleared_at"))
     )
     scanned = with_scan(
-        cells, ENTITY, "offset",
-        totals={"_cleared": ("max", F.col("clears_at"))}, chunk_rows=chunk_rows,
+        cells, ENTITY, "place",
+        totals={"last_clear": ("max", F.col("cleared_at"))}, chunk_rows=chunk_rows,
     )
+    return scanned.filter(_waits()).select(*ENTITY, "second")
+
+
+def _waits() -> Column:
     # clear_and_schedule clears before it schedules, so its own timer stays.
-    alive = F.col("_cleared").isNull() | (F.col("offset") >= F.col("_cleared"))
-    return scanned.filter(F.col("op").isin(*_SETTING) & alive).select(*ENTITY, "second")
+    return (
+        F.col("set_at").isNotNull()
+        & (F.col("set_at") > F.coalesce("removed_at", F.lit(-1)))
+        & (F.col("set_at") >= F.coalesce("last_clear", F.lit(-1)))
+    )
 
 
 def due_timers(timers: DataFrame, as_of: datetime) -> DataFrame:
@@ -67,37 +78,38 @@ def fired_timers(commands: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataFr
         ENTITY, "offset", running={"clock": ("max", F.col("us"))}, chunk_rows=chunk_rows,
     ).withColumn("clock_second", F.call_function("div", F.col("clock"), F.lit(SECOND_US)))
 
+    # A command touches its timer at the timer's second, and a clear touches the whole
+    # key at the clock's second. Both kinds of touch become one row per key, second and
+    # kind, so that one ordered pass finds the last clear before each timer's second. A
+    # clear in the timer's own second comes too late and sorts behind it.
     sets, early = F.col("op").isin(*_SETTING), F.col("clock_second") < F.col("second")
-    timers = (
-        clocked.filter("second IS NOT NULL")
-        .groupBy(*ENTITY, "second")
-        .agg(
-            F.max(F.when(sets & early, F.col("offset"))).alias("set_at"),
-            F.max(F.when((F.col("op") == "unschedule") & early, F.col("offset"))).alias("removed_at"),
-            F.sum((sets & ~early).cast("long")).alias("late"),
-        )
+    nothing = F.lit(None).cast("long")
+    on_timer = F.struct(
+        F.col("second"), F.lit(0).alias("kind"),
+        F.when(sets & early, F.col("offset")).alias("set_at"),
+        F.when((F.col("op") == "unschedule") & early, F.col("offset")).alias("removed_at"),
+        (sets & ~early).cast("long").alias("late"), nothing.alias("cleared_at"),
     )
-    clears = (
-        clocked.filter(F.col("op").isin(*_CLEARING))
-        .groupBy(*ENTITY, F.col("clock_second").alias("second"))
-        .agg(F.max("offset").alias("cleared_at"))
+    on_key = F.struct(
+        F.when(F.col("op").isin(*_CLEARING), F.col("clock_second")).alias("second"),
+        F.lit(1).alias("kind"), nothing.alias("set_at"), nothing.alias("removed_at"),
+        nothing.alias("late"), F.col("offset").alias("cleared_at"),
     )
-    # The last clear before each timer's second: one ordered pass over one row per key
-    # and second of either kind. A clear in the timer's own second comes too late.
-    both = timers.withColumns(
-        {"place": F.col("second") * 2, "cleared_at": F.lit(None).cast("long")}
-    ).unionByName(
-        clears.withColumn("place", F.col("second") * 2 + 1), allowMissingColumns=True
+    touches = (
+        clocked.select(*ENTITY, F.explode(F.array(on_timer, on_key)).alias("_t"))
+        .select(*ENTITY, "_t.*")
+        .filter("second IS NOT NULL")
+        .groupBy(*ENTITY, "second", "kind")
+        .agg(
+            F.max("set_at").alias("set_at"), F.max("removed_at").alias("removed_at"),
+            F.sum("late").alias("late"), F.max("cleared_at").alias("cleared_at"),
+        )
+        .withColumn("place", F.col("second") * 2 + F.col("kind"))
     )
     seen = with_scan(
-        both, ENTITY, "place",
+        touches, ENTITY, "place",
         running={"last_clear": ("max", F.col("cleared_at"))}, chunk_rows=2 * DAY_SECONDS,
-    ).filter("late IS NOT NULL")
-    waits = (
-        F.col("set_at").isNotNull()
-        & (F.col("set_at") > F.coalesce("removed_at", F.lit(-1)))
-        & (F.col("set_at") >= F.coalesce("last_clear", F.lit(-1)))
-    )
+    ).filter("kind = 0")
     return seen.select(
-        *ENTITY, "second", (F.col("late") + waits.cast("long")).alias("firings")
+        *ENTITY, "second", (F.col("late") + _waits().cast("long")).alias("firings")
     ).filter("firings > 0")

@@ -57,6 +57,7 @@ def with_scan(
     totals: Mapping[str, Reduction] | None = None,
     previous: Mapping[str, Column] | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Add running values, key totals and previous-row values to every row.
 
@@ -65,12 +66,16 @@ def with_scan(
     ``max`` or ``min``. ``previous[name] = column`` is the value on the key's row
     just before, null on its first row. ``order`` must be unique within a key.
     ``chunk`` replaces the chunk number for orders that are no offsets; chunk numbers
-    must ascend in the order asked for.
+    must ascend in the order asked for. ``keep_chunk`` leaves the chunk number in
+    ``_chunk``: a second scan that is given it finds its rows already in place.
     """
     running, totals, previous = dict(running or {}), dict(totals or {}), dict(previous or {})
     if previous and descending:
         raise ValueError("previous values are defined for ascending order only")
-    chunked = df.withColumn(_CHUNK, _chunk_of(order, chunk_rows) if chunk is None else chunk)
+    columns = [name for name in df.columns if name != _CHUNK]
+    numbered = df.withColumn(_CHUNK, _chunk_of(order, chunk_rows) if chunk is None else chunk)
+    # Stated here, so that both uses below filter alike and may share a shuffle.
+    chunked = numbered.filter(F.col(_CHUNK).isNotNull())
 
     aggs = [
         _REDUCERS[how](column).alias(f"_sum_{name}")
@@ -108,7 +113,8 @@ def with_scan(
         before_row = F.coalesce(F.lag(last).over(in_chunk), F.col("_prev_chunk"))
         added.update({name: before_row[name] for name in previous})
     out = joined.withColumns(added) if added else joined
-    return out.select(*df.columns, *running, *totals, *previous)
+    kept = [_CHUNK] if keep_chunk else []
+    return out.select(*columns, *running, *totals, *previous, *kept)
 
 
 def with_rank(
@@ -167,8 +173,11 @@ def rolling_sums(
         with_scan(
             deltas, keys, "second",
             running={name: ("sum", F.col(f"_delta_{name}")) for name in sums},
+            # Every key has an entry, so this total keeps all rows. Asking for it makes
+            # both uses of the deltas read the same columns and share one shuffle.
+            totals={"_any": ("max", F.col("seen"))},
             chunk_rows=DAY_SECONDS,
         )
-        .filter("seen = 1")
+        .filter("seen = 1 AND _any = 1")
         .select(*keys, "second", *sums)
     )

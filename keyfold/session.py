@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -16,12 +17,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
     Event times are instants, so the session zone is pinned to UTC. Adaptive
     execution picks broadcast joins from measured sizes and splits skewed join
-    partitions; no operator carries a broadcast hint of its own.
+    partitions; operators ask for a broadcast only after counting the rows.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set(f"{_ROCKSDB}.changelogCheckpointing.enabled", "true")
     return spark
 
 

@@ -207,26 +207,29 @@ class Handle:
         self._attempt.check()
 
 
+_encode = json.JSONEncoder(ensure_ascii=False, allow_nan=False).encode
+
+
 def encode_json(item: Any, error: type[Exception]) -> str:
     """JSON text of a value built from plain lists, text-keyed dicts and scalars."""
-    _check_plain(item, error)
-    return json.dumps(item, ensure_ascii=False)
+    try:
+        if isinstance(item, (dict, list, tuple)):
+            _check_keys(item)
+        return _encode(item)
+    except (TypeError, ValueError) as cause:
+        raise error(f"value is not representable as JSON: {cause}") from cause
 
 
-def _check_plain(item: Any, error: type[Exception]) -> None:
+def _check_keys(item: Any) -> None:
+    # The encoder would turn number keys into text without complaint.
     if isinstance(item, dict):
-        for name, inner in item.items():
+        for name in item:
             if not isinstance(name, str):
-                raise error("value is not representable as JSON: keys must be text")
-            _check_plain(inner, error)
-    elif isinstance(item, (list, tuple)):
-        for inner in item:
-            _check_plain(inner, error)
-    elif isinstance(item, float):
-        if item != item or item in (float("inf"), float("-inf")):
-            raise error("value is not representable as JSON: numbers must be finite")
-    elif item is not None and not isinstance(item, (str, int)):
-        raise error(f"value is not representable as JSON: {type(item).__name__}")
+                raise TypeError(f"keys must be text, got {name!r}")
+        item = item.values()
+    for inner in item:
+        if isinstance(inner, (dict, list, tuple)):
+            _check_keys(inner)
 
 
 def _is_backward(direction: Any) -> bool:

@@ -11,6 +11,7 @@ from keyfold.functions.times import HALF_SECOND_US, SECOND_US
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _DELIVERED = object()
+_encode = json.JSONEncoder(ensure_ascii=False).encode
 
 
 def to_us(moment: datetime) -> int:
@@ -54,10 +55,9 @@ class Message(ExciseMessage):
 
     def to_text(self) -> str:
         """The message as stored in a collection."""
-        return json.dumps(
+        return _encode(
             [self.topic, self.partition, self.offset, to_us(self.timestamp), self.key,
-             self.headers, self.payload],
-            ensure_ascii=False,
+             self.headers, self.payload]
         )
 
     @classmethod

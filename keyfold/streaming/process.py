@@ -37,6 +37,7 @@ def process_keyed(
     subsystem: str | None = None,
     lateness: Duration = 0,
     with_state: bool = False,
+    telemetry: bool = False,
 ) -> DataFrame:
     """Call the handler for every event and timer, per key, in order.
 
@@ -55,7 +56,8 @@ def process_keyed(
     ``lateness`` is the watermark delay of a stream. Spark drops events older than
     the watermark, so set it beyond the disorder between partitions, and see
     ``check_no_late_rows``. ``with_state`` adds rows with each key's final state to a
-    batch run. ``timeout`` cancels ``async`` handlers; it defaults to 80 % of the
+    batch run. ``telemetry`` adds a row for every call, not only for those that fail.
+    ``timeout`` cancels ``async`` handlers; it defaults to 80 % of the
     stall threshold.
     """
     check_handler(handler)
@@ -71,7 +73,7 @@ def process_keyed(
         backoff_seconds=(_seconds(defer_base), _seconds(defer_max_delay)),
         max_attempts=max_attempts if streaming else max_attempts or BATCH_ATTEMPTS,
         timeout_seconds=deadline_us(timeout) / 1e6,
-        streaming=streaming, with_state=with_state,
+        streaming=streaming, with_state=with_state, telemetry=telemetry,
     )
     spark = configure(events.sparkSession)
     headers = (
@@ -125,7 +127,7 @@ def response_rows(rows: DataFrame, group_id: str) -> DataFrame:
 
 
 def call_rows(rows: DataFrame) -> DataFrame:
-    """The lifecycle of every handler call."""
+    """The lifecycle of handler calls: all with ``telemetry``, else the failed ones."""
     return rows.filter("kind = 'call'").select(
         *ENTITY, "call", "partition", "offset", "time", "attempt", "outcome", "category", "error"
     )

@@ -31,7 +31,7 @@ OUTPUT_SCHEMA = (
     "time timestamp, attempt int, outcome string, category string, name string, cell string, "
     "size long, value string, error string"
 )
-_FIELDS = [part.split()[0] for part in OUTPUT_SCHEMA.split(", ")]
+_OutputRow = Row(*[part.split()[0] for part in OUTPUT_SCHEMA.split(", ")])
 
 # Fixed value: the header that marks an event as a request and carries its id.
 REQUEST_HEADER = "request-id"
@@ -129,11 +129,13 @@ class KeyedProcessor(StatefulProcessor):
         timeout_seconds: float | None,
         streaming: bool,
         with_state: bool,
+        telemetry: bool,
     ) -> None:
         self._handler, self._collections = handler, list(collections)
         self._mode, self._max_retries = mode, max_retries
         self._backoff, self._max_attempts = backoff_seconds, max_attempts
-        self._timeout, self._streaming, self._with_state = timeout_seconds, streaming, with_state
+        self._timeout, self._streaming = timeout_seconds, streaming
+        self._with_state, self._telemetry = with_state, telemetry
         self._ttls = any(c.ttl_seconds for c in self._collections)
 
     # Spark's entry points
@@ -144,6 +146,8 @@ class KeyedProcessor(StatefulProcessor):
         self._key_state = handle.getValueState("engine-key", _KEY_SCHEMA)
         self._parked = handle.getMapState("engine-parked", "n long", "call string")
         self._loop: asyncio.AbstractEventLoop | None = None
+        methods = {n: getattr(self._handler, n) for n in ("on_message", "on_excise", "on_timer")}
+        self._methods = {n: (m, inspect.iscoroutinefunction(m)) for n, m in methods.items()}
 
     def close(self) -> None:
         if self._loop is not None:
@@ -226,7 +230,7 @@ class KeyedProcessor(StatefulProcessor):
     def _purge(self, run: KeyRun, now_us: int) -> None:
         """Drop cells that have expired; reads hide them until then."""
         for cells in run.cells.values():
-            if cells.definition.ttl_seconds and cells.definition.kind != "deque":
+            if cells.definition.ttl_seconds:
                 gone = [c for c, content in cells.scan() if content[1] and content[1] <= now_us]
                 cells.apply(dict.fromkeys(gone), clear=False)
 
@@ -268,7 +272,8 @@ class KeyedProcessor(StatefulProcessor):
             error, returned, emitted = self._attempt(run, call)
             kind = None if error is None else category(error)
             outcome = self._outcome(kind, attempt)
-            yield self._row("call", run, call, attempt, outcome, kind, error=error)
+            if self._telemetry or error is not None:
+                yield self._row("call", run, call, attempt, outcome, kind, error=error)
             if outcome != "retry":
                 break
         if outcome == "ok":
@@ -314,7 +319,7 @@ class KeyedProcessor(StatefulProcessor):
             attempt.alive = False
 
     def _invoke(self, context: Context, run: KeyRun, call: dict) -> Any:
-        method = getattr(self._handler, call["call"])
+        method, is_async = self._methods[call["call"]]
         if call["call"] == "on_timer":
             argument: Any = Timer(run.key, from_us(call["us"]))
         else:
@@ -322,7 +327,7 @@ class KeyedProcessor(StatefulProcessor):
                 run.topic, call["partition"], call["offset"], call["us"], run.key,
                 call["headers"], call["payload"],
             )
-        if not inspect.iscoroutinefunction(method):
+        if not is_async:
             return method(context, argument)
         if self._loop is None:
             self._loop = asyncio.new_event_loop()
@@ -362,7 +367,7 @@ class KeyedProcessor(StatefulProcessor):
 
     def _row(self, kind, run, call, attempt, outcome, category_=None, *, name=None,
              cell=None, size=None, value=None, error=None) -> Row:
-        return Row(*_FIELDS)(
+        return _OutputRow(
             kind, run.topic, run.key, call["call"], call.get("partition"), call.get("offset"),
             from_us(call["us"]), attempt, outcome, category_, name, cell, size, value,
             None if error is None else str(error),

@@ -110,7 +110,7 @@ def flaky(spark, **options):
             (2, "a", '{"id":3,"good":1}'), (3, "b", '{"id":4,"good":-2}'),
             (4, "b", '{"id":5,"good":2}'),
         ),
-        Flaky(), FLAKY, **options,
+        Flaky(), FLAKY, telemetry=True, **options,
     )
     calls = [
         (r.key, r.offset, r.attempt, r.outcome, r.category) for r in call_rows(rows).collect()

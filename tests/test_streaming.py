@@ -143,7 +143,9 @@ def test_late_rows_are_reported(spark, tmp_path):
     events = read_log(spark, str(tmp_path / "in"), stream=True, max_files_per_trigger=1)
 
     def start(lateness, name):
-        rows_ = call_rows(process_keyed(events, Sessions(), Sessions.ALL, lateness=lateness))
+        rows_ = call_rows(
+            process_keyed(events, Sessions(), Sessions.ALL, lateness=lateness, telemetry=True)
+        )
         query = (
             rows_.writeStream.format("parquet").option("path", str(tmp_path / name))
             .option("checkpointLocation", str(tmp_path / f"{name}-cp"))
@@ -176,7 +178,9 @@ def test_pipeline_retry_survives_micro_batches(spark, tmp_path):
     rows.append(("t", 0, 20, START + timedelta(days=1), "end", None, {}))
     write_files(spark, tmp_path / "in", rows, 7)
     events = read_log(spark, str(tmp_path / "in"), stream=True, max_files_per_trigger=1)
-    found = process_keyed(events, Recovering(), [*Sessions.ALL, Recovering.TRIES])
+    found = process_keyed(
+        events, Recovering(), [*Sessions.ALL, Recovering.TRIES], telemetry=True
+    )
     query = (
         found.writeStream.foreachBatch(
             batch_writer(
