@@ -19,6 +19,9 @@ MALFORMED_TEXT = "the response did not decode"
 
 JSON_FORMAT = "json"
 
+# Our own name for the header that marks an event as a request and carries its id.
+REQUEST_HEADER = "request-id"
+
 
 def subsystem_names(names: Sequence[str]) -> list[str]:
     """Check and order the subsystems of a request; repeats count once."""
@@ -37,6 +40,11 @@ def subsystem_names(names: Sequence[str]) -> list[str]:
     return checked
 
 
+def request_header(request_id: Column) -> Column:
+    """Headers that make an outgoing event, or excise record, a request."""
+    return F.create_map(F.lit(REQUEST_HEADER), request_id.cast("string"))
+
+
 def requested(
     events: DataFrame, request_id: Column, subsystems: Sequence[str], timeout: Duration
 ) -> DataFrame:

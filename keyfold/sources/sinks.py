@@ -52,11 +52,12 @@ def excise_records(
     key: Column,
     group_id: str,
     source_system: str | None = None,
+    headers: Column | None = None,
 ) -> DataFrame:
     """One deletion record per row: the key with no payload."""
     return outgoing(
         df, topic=topic, key=key, payload=F.lit(None).cast("string"),
-        group_id=group_id, source_system=source_system,
+        group_id=group_id, source_system=source_system, headers=headers,
     )
 
 

@@ -10,10 +10,11 @@ from keyfold.streaming.process import (
     output_rows,
     process_keyed,
     response_rows,
+    telemetry_rows,
 )
 
 __all__ = [
     "EventHandler", "ExciseMessage", "Message", "Timer", "call_rows", "check_no_late_rows",
     "collection_rows", "committed_state", "dead_letter_rows", "output_rows", "process_keyed",
-    "response_rows",
+    "response_rows", "telemetry_rows",
 ]

@@ -13,6 +13,7 @@ from keyfold.functions.times import Duration, duration_us
 from keyfold.operators.failures import (
     DEFER_BASE_SECONDS, DEFER_CAP_SECONDS, MAX_RETRIES, MODES, deadline_us,
 )
+from keyfold.operators.log import lifecycle_rows
 from keyfold.session import configure
 from keyfold.sources.events import ENTITY
 from keyfold.streaming.handles import ENDS_CELL
@@ -129,7 +130,15 @@ def response_rows(rows: DataFrame, group_id: str) -> DataFrame:
 def call_rows(rows: DataFrame) -> DataFrame:
     """The lifecycle of handler calls: all with ``telemetry``, else the failed ones."""
     return rows.filter("kind = 'call'").select(
-        *ENTITY, "call", "partition", "offset", "time", "attempt", "outcome", "category", "error"
+        *ENTITY, "call", "partition", "offset", "time", "attempt", "outcome", "category",
+        "error", "started", "ended",
+    )
+
+
+def telemetry_rows(rows: DataFrame) -> DataFrame:
+    """Handler calls as lifecycle events, with wall-clock times as text."""
+    return lifecycle_rows(
+        call_rows(rows).withColumn("kind", F.regexp_replace("call", "^on_", ""))
     )
 
 

@@ -12,7 +12,7 @@ import asyncio
 import inspect
 import json
 from collections.abc import Iterator, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import Row
@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from keyfold.definitions import Collection
 from keyfold.errors import PermanentError, category
 from keyfold.functions.times import SECOND_US
+from keyfold.operators.requests import REQUEST_HEADER
 from keyfold.streaming.handles import (
     AsyncView, Attempt, Handle, KeyCells, SparkCells, bind, encode_json, final_state,
 )
@@ -29,13 +30,10 @@ from keyfold.streaming.messages import Timer, deliver, from_us, nearest_second
 OUTPUT_SCHEMA = (
     "kind string, topic string, key string, call string, partition int, offset long, "
     "time timestamp, attempt int, outcome string, category string, name string, cell string, "
-    "size long, value string, error string"
+    "size long, value string, error string, started timestamp, ended timestamp"
 )
 _OutputRow = Row(*[part.split()[0] for part in OUTPUT_SCHEMA.split(", ")])
 
-# Fixed value: the header that marks an event as a request and carries its id.
-REQUEST_HEADER = "request-id"
-
 # Spark timers have millisecond precision and handlers' timers whole seconds, so the
 # last digits tell the timers of handlers, of retries and of expiry apart.
 _RETRY_MS, _PURGE_MS = 1, 2
@@ -269,11 +267,13 @@ class KeyedProcessor(StatefulProcessor):
         attempt = earlier_failures
         while True:
             attempt += 1
+            started = datetime.now(timezone.utc)
             error, returned, emitted = self._attempt(run, call)
             kind = None if error is None else category(error)
             outcome = self._outcome(kind, attempt)
             if self._telemetry or error is not None:
-                yield self._row("call", run, call, attempt, outcome, kind, error=error)
+                times = (started, datetime.now(timezone.utc))
+                yield self._row("call", run, call, attempt, outcome, kind, error=error, times=times)
             if outcome != "retry":
                 break
         if outcome == "ok":
@@ -366,11 +366,11 @@ class KeyedProcessor(StatefulProcessor):
     # Rows
 
     def _row(self, kind, run, call, attempt, outcome, category_=None, *, name=None,
-             cell=None, size=None, value=None, error=None) -> Row:
+             cell=None, size=None, value=None, error=None, times=(None, None)) -> Row:
         return _OutputRow(
             kind, run.topic, run.key, call["call"], call.get("partition"), call.get("offset"),
             from_us(call["us"]), attempt, outcome, category_, name, cell, size, value,
-            None if error is None else str(error),
+            None if error is None else str(error), *times,
         )
 
     def _state_rows(self, run: KeyRun) -> Iterator[Row]:

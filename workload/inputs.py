@@ -118,6 +118,7 @@ def writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.lit("events").alias("topic"),
         F.col("user_id").cast("string").alias("key"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
         number.alias("offset"),
         instant("ts").alias("timestamp"),
         (~kept).alias("excised"),
@@ -200,6 +201,14 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as events: key = conversation, offset = turn, state = role."""
+    return table(spark, sf_dir, "conversations").select(
+        F.lit("conversations").alias("topic"), F.col("conv_id").cast("string").alias("key"),
+        F.col("turn").alias("offset"), "role",
+    )
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as responses to requests; some fail, some are in another format."""
     raw = table(spark, sf_dir, "lineitem")

@@ -61,6 +61,14 @@ def j5_state_machine(spark, sf_dir):
     return moves.select("key", "offset", "from_state", "to_state", "allowed")
 
 
+def j5_conversation_turns(spark, sf_dir):
+    turns = inputs.conversation_events(spark, sf_dir)
+    moves = jobs.transitions(
+        turns, "role", [("system", "user"), ("user", "assistant"), ("assistant", "user")]
+    )
+    return moves.groupBy("from_state", "to_state", "allowed").agg(F.count("*").alias("n"))
+
+
 def _register(function, sql):
     QUERIES[function.__name__] = function
     ORACLES[function.__name__] = sql
@@ -135,3 +143,11 @@ SELECT key, event_id AS "offset", from_state, event_type AS to_state,
   coalesce(from_state IS NULL OR (from_state, event_type) IN (
     ('signup', 'view'), ('view', 'view'), ('view', 'click'),
     ('click', 'purchase'), ('click', 'view'), ('purchase', 'view')), FALSE) AS allowed FROM m""")
+_register(j5_conversation_turns, """
+WITH m AS (
+  SELECT lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS from_state, role AS to_state
+  FROM conversations)
+SELECT from_state, to_state,
+  coalesce(from_state IS NULL OR (from_state, to_state) IN (
+    ('system', 'user'), ('user', 'assistant'), ('assistant', 'user')), FALSE) AS allowed,
+  count(*) AS n FROM m GROUP BY 1, 2, 3""")

@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from keyfold.operators import state, timers
+from keyfold.operators import log, state, timers
 from workload import inputs
 from workload.inputs import AS_OF, DEQUE_SLOTS, EV, MAP_WRITES, TIMER_COMMANDS, VALUE_WRITES
 
@@ -75,6 +75,53 @@ def d8_deque_ends(spark, sf_dir):
     )
 
 
+def m8_keys(spark, sf_dir):
+    entries = state.map_snapshot(inputs.map_writes(spark, sf_dir)).select("topic", "key", "map_key")
+    forward = state.map_positions(entries).withColumn("direction", F.lit("forward"))
+    backward = state.map_positions(entries, "backward").withColumn("direction", F.lit("backward"))
+    return forward.unionByName(backward).select("direction", "key", "map_key", "position")
+
+
+def _messages(spark, sf_dir, place):
+    """Stored positions back as messages: the log is read by position."""
+    events = inputs.events(spark, sf_dir)
+    found = log.resolve_positions(place, events)
+    return found.withColumn("id", F.get_json_object("payload", "$.id"))
+
+
+def v_message_value(spark, sf_dir):
+    stored = state.value_snapshot(_message_writes(inputs.value_writes(spark, sf_dir)))
+    return _messages(spark, sf_dir, _positions(stored)).select("key", "offset", "id")
+
+
+def m_message_map(spark, sf_dir):
+    stored = state.map_snapshot(_message_writes(inputs.map_writes(spark, sf_dir)))
+    return _messages(spark, sf_dir, _positions(stored, "map_key")).select(
+        "key", "map_key", "offset", "id"
+    )
+
+
+def d_message_deque(spark, sf_dir):
+    stored = state.deque_slots(_message_writes(inputs.deque_writes(spark, sf_dir)))
+    return _messages(spark, sf_dir, _positions(stored, "position")).select(
+        "key", "position", "offset", "id"
+    )
+
+
+def _message_writes(writes):
+    """Message collections keep the delivered message's position, not its payload."""
+    place = F.concat_ws(":", "partition", "offset")
+    return writes.withColumn("value", F.when(F.col("op") != "clear", place))
+
+
+def _positions(stored, *columns):
+    place = F.split("value", ":")
+    return stored.select(
+        "topic", "key", *columns,
+        place[0].cast("int").alias("partition"), place[1].cast("long").alias("offset"),
+    )
+
+
 def _keys(spark, sf_dir):
     """Every user that ever had an event, the excised ones too."""
     return inputs.events(spark, sf_dir).select("topic", "key").distinct()
@@ -205,6 +252,19 @@ WITH {DEQUE_SLOTS}, ends AS (
 SELECT u.key, front, back, coalesce(size, 0) AS size, size IS NULL AS is_empty
 FROM (SELECT DISTINCT key FROM ev) u LEFT JOIN ends ON ends.key = u.key""")
 
+_register(m8_keys, f"""
+WITH {MAP_WRITES} SELECT 'forward' AS direction, key, map_key,
+  row_number() OVER (PARTITION BY key ORDER BY map_key) - 1 AS position FROM entries
+UNION ALL SELECT 'backward', key, map_key,
+  row_number() OVER (PARTITION BY key ORDER BY map_key DESC) - 1 FROM entries""")
+_register(v_message_value, f"""
+WITH {VALUE_WRITES} SELECT key, max(off) AS "offset", CAST(max(off) AS VARCHAR) AS id
+FROM vw GROUP BY key HAVING arg_max(op, off) = 'set'""")
+_register(m_message_map, f"""
+WITH {MAP_WRITES} SELECT key, map_key, off AS "offset", CAST(off AS VARCHAR) AS id FROM entries""")
+_register(d_message_deque, f"""
+WITH {DEQUE_SLOTS} SELECT key, position, off AS "offset", CAST(off AS VARCHAR) AS id FROM slots""")
+
 _ATTEMPT_SQL = """a AS (
   SELECT CAST(user_id AS VARCHAR) AS key, event_id AS off, event_type <> 'error' AS ok FROM events
 ), lasting AS (
