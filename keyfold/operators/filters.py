@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,9 +27,10 @@ def allowed_types(events: DataFrame, prefixes: Sequence[str]) -> DataFrame:
     """
     if not prefixes:
         return events
+    # One pattern, so that the payload is read once per event.
+    pattern = "^(?:" + "|".join(re.escape(prefix) for prefix in prefixes) + ")"
     event_type = field(F.col("payload"), "type")
-    hit = reduce(lambda a, b: a | b, [event_type.startswith(p) for p in prefixes])
-    return events.filter(event_type.isNull() | hit)
+    return events.filter(F.coalesce(event_type.rlike(pattern), F.lit(True)))
 
 
 def drop_own(events: DataFrame, group_id: str) -> DataFrame:
@@ -47,7 +48,7 @@ def _identity(events: DataFrame) -> DataFrame:
     # A row without an id is its own identity, so such rows neither match each
     # other nor pile up in one group.
     by_id = event_id(F.col("payload"))
-    own = F.when(by_id.isNull(), F.struct("partition", "offset"))
+    own = F.when(by_id.isNull(), F.concat_ws(":", "partition", "offset"))
     return events.withColumns({"_id": by_id, "_own": own})
 
 
@@ -72,23 +73,21 @@ def first_by_id_within(events: DataFrame, ttl: Duration = DEDUP_TTL_SECONDS) ->
 
     The next copy at or after that second is processed and starts a new period.
     Copies are first reduced to one per identity and second, and only these
-    positions are walked in order.
+    positions are walked in order; payloads are read once and travel only in the last
+    join.
     """
-    identity = _identity(events).withColumn("second", second_of(F.col("timestamp")))
-    with_id = identity.filter("_id IS NOT NULL")
-    per_second = with_id.groupBy(*ENTITY, "_id", "second").agg(
-        F.min(F.struct(F.unix_micros("timestamp").alias("us"), "partition", "offset")).alias("f")
+    identity = [*ENTITY, "_id", "_own"]
+    place = F.struct(F.unix_micros("timestamp").alias("us"), "partition", "offset")
+    per_second = (
+        _identity(events)
+        .groupBy(*identity, second_of(F.col("timestamp")).alias("second"))
+        .agg(F.min(place).alias("first"))
     )
     candidates = per_second.select(
-        *ENTITY, "_id", "second", F.col("f.us").alias("first_us"), "f.partition", "f.offset"
-    )
-    kept = (
-        greedy_periods(candidates, [*ENTITY, "_id"], ttl)
-        .filter("opens")
-        .select(*POSITION)
+        *identity, "second", F.col("first.us").alias("first_us"), "first.partition", "first.offset"
     )
-    repeats = with_id.select(*events.columns).join(kept, POSITION, "left_semi")
-    return repeats.unionByName(identity.filter("_id IS NULL").select(*events.columns))
+    kept = greedy_periods(candidates, identity, ttl).filter("opens").select(*POSITION)
+    return events.join(kept, POSITION, "left_semi")
 
 
 def with_version(processed: DataFrame, version: str = DEDUP_VERSION) -> DataFrame:

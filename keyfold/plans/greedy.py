@@ -51,24 +51,27 @@ def greedy_periods(
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             seconds = batch.column(batch.schema.get_field_index("second")).to_numpy()
             first_us = batch.column(batch.schema.get_field_index("first_us")).to_numpy()
-            open_at = np.empty(len(seconds), np.int64)
-            close_at = np.empty(len(seconds), np.int64)
-            opens = np.zeros(len(seconds), bool)
-            for start, stop in _runs(columns, len(seconds)):
-                key = tuple(column[start].as_py() for column in columns)
+            # A key with one row here opens with it. Only longer stretches are walked,
+            # and the first and last one, which may go on in the batch before or after.
+            open_at, opens = seconds.copy(), np.ones(len(seconds), bool)
+            close_at = (first_us + (length_us + HALF_SECOND_US)) // SECOND_US
+            edges = _edges(columns, len(seconds))
+            walked = np.diff(edges) > 1
+            walked[[0, -1]] = True
+            for run in np.flatnonzero(walked):
+                at, stop = int(edges[run]), int(edges[run + 1])
+                key = tuple(column[at].as_py() for column in columns)
                 if key != current:
                     current, closes = key, None
-                at = start
                 while at < stop:
                     if closes is not None and seconds[at] < closes:
                         inside = at + int(np.searchsorted(seconds[at:stop], closes))
                         open_at[at:inside], close_at[at:inside] = opened, closes
+                        opens[at:inside] = False
                         at = inside
-                        continue
-                    opened = int(seconds[at])
-                    closes = (int(first_us[at]) + length_us + HALF_SECOND_US) // SECOND_US
-                    open_at[at], close_at[at], opens[at] = opened, closes, True
-                    at += 1
+                    else:
+                        opened, closes = int(seconds[at]), int(close_at[at])
+                        at += 1
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(opens), pa.array(open_at), pa.array(close_at)],
                 names=[*batch.schema.names, "opens", "open_second", "close_second"],
@@ -81,11 +84,10 @@ def greedy_periods(
     )
 
 
-def _runs(columns: Sequence[pa.Array], length: int) -> Iterator[tuple[int, int]]:
-    """Bounds of the stretches of equal keys in a sorted batch."""
-    changed = np.zeros(max(length - 1, 0), bool)
+def _edges(columns: Sequence[pa.Array], length: int) -> np.ndarray:
+    """Where the stretches of equal keys in a sorted batch begin, and the end."""
+    changed = np.zeros(length - 1, bool)
     for column in columns:
         codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
         changed |= codes[1:] != codes[:-1]
-    edges = [0, *(np.flatnonzero(changed) + 1).tolist(), length]
-    return zip(edges[:-1], edges[1:])
+    return np.concatenate([[0], np.flatnonzero(changed) + 1, [length]])
