@@ -93,15 +93,21 @@ def burst_held(
 ) -> DataFrame:
     """The messages each summary lists: the last ``capacity`` held ones of a window.
 
-    Events meet their second's window on an equi-join; the tail of each window is a
-    group limit that runs before the shuffle.
+    Of one second only the last ``capacity`` events can be among them, so a crowded
+    second is cut down before its events meet their window. Both tails are group
+    limits that run before their shuffle, and the join keeps the first one's
+    partitioning.
     """
     messages = _messages(events, chunk_rows)
     periods = greedy_periods(_seconds(messages), _PERIOD, length).select(
         *_PERIOD, "second", "open_second", "close_second",
         F.when(F.col("opens"), F.col("first_offset")).alias("_opening"),
     )
-    held = messages.join(periods, [*_PERIOD, "second"]).filter(
+    in_second = Window.partitionBy(*_PERIOD, "second").orderBy(F.desc("offset"))
+    tails = messages.withColumn("_tail", F.row_number().over(in_second)).filter(
+        F.col("_tail") <= capacity
+    )
+    held = tails.join(periods, [*_PERIOD, "second"]).filter(
         F.col("_opening").isNull() | (F.col("offset") != F.col("_opening"))
     )
     newest = Window.partitionBy(*_PERIOD, "open_second").orderBy(F.desc("offset"))

@@ -147,37 +147,26 @@ def rolling_sums(
 ) -> DataFrame:
     """Sums over the trailing ``window_seconds``, one row per key and second seen.
 
-    The window at second ``s`` covers ``(s - window_seconds, s]``. Each row counts
-    once at its second and is taken back ``window_seconds`` later, so the rolling
-    sum is a running sum and costs the same for any window length. Rows are
-    aggregated to one per key and second before the ordered step.
+    The window at second ``s`` covers ``(s - window_seconds, s]``. What a second adds is
+    taken back ``window_seconds`` later, so the rolling sum is a running sum and costs
+    the same for any window length. Rows are aggregated to one per key and second
+    before the ordered step, whose two passes share that shuffle.
     """
-    entry = F.struct(
-        second.alias("second"), F.lit(1).alias("seen"),
-        *[column.alias(name) for name, column in sums.items()],
-    )
-    exit_ = F.struct(
-        (second + F.lit(window_seconds)).alias("second"), F.lit(0).alias("seen"),
-        *[(-column).alias(name) for name, column in sums.items()],
-    )
-    deltas = (
-        df.select(*keys, F.explode(F.array(entry, exit_)).alias("_d"))
-        .select(*keys, "_d.*")
-        .groupBy(*keys, "second")
-        .agg(
-            F.max("seen").alias("seen"),
-            *[F.sum(name).alias(f"_delta_{name}") for name in sums],
-        )
+    per_second = df.groupBy(*keys, second.alias("second")).agg(
+        *[F.sum(column).alias(name) for name, column in sums.items()]
     )
+    # Even places take back and odd ones add, so that a second's leavers go first.
+    leave, enter = (F.col("second") + window_seconds) * 2, F.col("second") * 2 + 1
+    steps = per_second.withColumn("place", F.explode(F.array(enter, leave)))
+    enters = F.col("place") % 2 == 1
     return (
         with_scan(
-            deltas, keys, "second",
-            running={name: ("sum", F.col(f"_delta_{name}")) for name in sums},
-            # Every key has an entry, so this total keeps all rows. Asking for it makes
-            # both uses of the deltas read the same columns and share one shuffle.
-            totals={"_any": ("max", F.col("seen"))},
-            chunk_rows=DAY_SECONDS,
+            steps, keys, "place", chunk_rows=2 * DAY_SECONDS,
+            running={
+                f"_rolling_{name}": ("sum", F.when(enters, F.col(name)).otherwise(-F.col(name)))
+                for name in sums
+            },
         )
-        .filter("seen = 1 AND _any = 1")
-        .select(*keys, "second", *sums)
+        .filter(enters)
+        .select(*keys, "second", *[F.col(f"_rolling_{name}").alias(name) for name in sums])
     )
