@@ -9,12 +9,13 @@ from keyfold.streaming.process import (
     dead_letter_rows,
     output_rows,
     process_keyed,
+    publish_state,
     response_rows,
     telemetry_rows,
 )
 
 __all__ = [
     "EventHandler", "ExciseMessage", "Message", "Timer", "call_rows", "check_no_late_rows",
-    "collection_rows", "committed_state", "dead_letter_rows", "output_rows", "process_keyed",
+    "collection_rows", "committed_state", "dead_letter_rows", "output_rows", "process_keyed", "publish_state",
     "response_rows", "telemetry_rows",
 ]

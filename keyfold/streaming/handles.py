@@ -74,6 +74,7 @@ class KeyCells:
         self._cells: dict[Any, tuple | None] = {}
         self._dirty: set[Any] = set()
         self._emptied = False
+        self.last_expiry = 0
 
     def get(self, cell: Any) -> tuple | None:
         if cell not in self._cells:
@@ -89,6 +90,9 @@ class KeyCells:
             self._emptied = True
         self._cells.update(writes)
         self._dirty.update(writes)
+        if self.definition.ttl_seconds:
+            ends = (content[1] for content in writes.values() if content and content[1])
+            self.last_expiry = max(ends, default=self.last_expiry)
 
     def scan(self) -> Iterator[tuple[Any, tuple]]:
         """Cells in no set order, with committed writes laid over the store."""

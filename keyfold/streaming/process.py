@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from keyfold.operators.failures import (
     DEFER_BASE_SECONDS, DEFER_CAP_SECONDS, MAX_RETRIES, MODES, deadline_us,
 )
 from keyfold.operators.log import lifecycle_rows
+from keyfold.operators.published import publish
 from keyfold.session import configure
 from keyfold.sources.events import ENTITY
 from keyfold.streaming.handles import ENDS_CELL
@@ -174,6 +176,25 @@ def committed_state(spark: SparkSession, checkpoint: str, definition: Collection
     )
 
 
+def publish_state(
+    spark: SparkSession,
+    checkpoint: str,
+    path: str,
+    definition: Collection,
+    *,
+    subsystem: str,
+    group_id: str,
+    as_of: datetime,
+) -> None:
+    """Publish a collection as the stream's last finished micro-batch left it."""
+    batches = spark.read.format("state-metadata").load(checkpoint)
+    batch_id = batches.agg(F.max("maxBatchId")).first()[0]
+    publish(
+        committed_state(spark, checkpoint, definition), path, definition,
+        subsystem=subsystem, group_id=group_id, batch_id=batch_id, as_of=as_of,
+    )
+
+
 def check_no_late_rows(query: Any) -> None:
     """Raise if the watermark has dropped events of a stream.
 

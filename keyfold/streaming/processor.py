@@ -134,7 +134,6 @@ class KeyedProcessor(StatefulProcessor):
         self._backoff, self._max_attempts = backoff_seconds, max_attempts
         self._timeout, self._streaming = timeout_seconds, streaming
         self._with_state, self._telemetry = with_state, telemetry
-        self._ttls = any(c.ttl_seconds for c in self._collections)
 
     # Spark's entry points
 
@@ -177,9 +176,11 @@ class KeyedProcessor(StatefulProcessor):
         run = self._load(key)
         expired_ms = expiredTimerInfo.getExpiryTimeInMs()
         yield from self._advance(run, expired_ms * 1000)
-        if expired_ms % 1000 == _PURGE_MS:
-            self._purge(run, expired_ms * 1000)
-        self._save(run)
+        if expired_ms % 1000 == _PURGE_MS and self._purge(run, expired_ms * 1000):
+            # Nothing is left, and the watermark is past the clock: forget the key.
+            self._key_state.clear()
+        else:
+            self._save(run)
 
     # Loading and saving a key
 
@@ -209,9 +210,11 @@ class KeyedProcessor(StatefulProcessor):
             self._spark.deleteTimer(timer)
         for timer in wanted - run.saved_timers:
             self._spark.registerTimer(timer)
-        if self._ttls and self._streaming:
-            longest = max(c.ttl_seconds or 0 for c in self._collections)
-            self._spark.registerTimer(self._purge_ms(run.clock, longest))
+        expiry = max((cells.last_expiry for cells in run.cells.values()), default=0)
+        if expiry and self._streaming:
+            # Rounded up to the hour, so that a busy key has few of these at a time.
+            hour = -(-expiry // (3600 * SECOND_US))
+            self._spark.registerTimer(hour * 3_600_000 + _PURGE_MS)
 
     def _timer_ms(self, run: KeyRun) -> set[int]:
         timers = {second * 1000 for second in run.timers}
@@ -219,18 +222,16 @@ class KeyedProcessor(StatefulProcessor):
             timers.add(run.retry_second * 1000 + _RETRY_MS)
         return timers
 
-    @staticmethod
-    def _purge_ms(now_us: int, ttl_seconds: float) -> int:
-        # Rounded up to the hour, so that a busy key has few expiry timers at a time.
-        hour = -(-(now_us // SECOND_US + int(ttl_seconds)) // 3600)
-        return hour * 3_600_000 + _PURGE_MS
-
-    def _purge(self, run: KeyRun, now_us: int) -> None:
-        """Drop cells that have expired; reads hide them until then."""
+    def _purge(self, run: KeyRun, now_us: int) -> bool:
+        """Drop cells that have expired, which reads hide until then; true if none is left."""
+        left = bool(run.timers) or run.has_parked
         for cells in run.cells.values():
-            if cells.definition.ttl_seconds:
-                gone = [c for c, content in cells.scan() if content[1] and content[1] <= now_us]
-                cells.apply(dict.fromkeys(gone), clear=False)
+            held = list(cells.scan())
+            gone = [c for c, content in held if content[1] and content[1] <= now_us]
+            cells.apply(dict.fromkeys(gone), clear=False)
+            cells.flush()
+            left = left or len(gone) < len(held)
+        return not left
 
     # Time
 

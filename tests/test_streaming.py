@@ -14,7 +14,7 @@ from keyfold.sources.events import EVENT_SCHEMA, read_log
 from keyfold.sources.sinks import batch_writer
 from keyfold.streaming import (
     EventHandler, call_rows, check_no_late_rows, committed_state, dead_letter_rows, output_rows,
-    process_keyed,
+    process_keyed, publish_state,
 )
 
 # Workers cannot import test modules, so the handlers below travel by value.
@@ -129,6 +129,14 @@ def test_restart_resumes_from_committed_state(spark, tmp_path, batch_result):
     assert {(r.key, r.position, r["size"], r.value) for r in slots.collect()} == {
         (k, n, len(items), v) for k, items in log.items() for n, v in enumerate(items)
     }
+    shared = d.map("seen", published=True, read_cache=False)
+    publish_state(
+        spark, checkpoint, str(tmp_path / "pub"), shared,
+        subsystem="shop", group_id="g", as_of=START,
+    )
+    reader = published.PublishedReader(spark, str(tmp_path / "pub"), "shop", shared)
+    assert reader.snapshot().count() == sum(map(len, expected.values()))
+
     write_files(spark, folder, rows[100:], 1)
     once()
     found = spark.read.parquet(out).collect()
@@ -369,3 +377,40 @@ def test_stream_publishes_committed_snapshots(spark, tmp_path, rows):
     asked = spark.createDataFrame([("t", "hot"), ("t", "none")], "topic string, key string")
     expected = max(r[2] for r in make_log() if r[4] == "hot")
     assert rows(reader.get(asked), "key", "value") == [("hot", str(expected)), ("none", None)]
+
+
+def test_expired_state_is_dropped_by_the_watermark(spark, tmp_path):
+    class Remember(Sessions):
+        SHORT, FOREVER = d.map("short", ttl=60), d.value("forever")
+
+        def on_message(self, context, message):
+            context.state(self.SHORT).set("a", 1)
+            if message.key == "kept":
+                context.state(self.FOREVER).set(message.offset)
+
+    def message(offset, key, **later):
+        return ("t", 0, offset, START + timedelta(**later), key, '{"n":1}', {})
+
+    def cells(definition):
+        found = committed_state(spark, str(tmp_path / "cp"), definition).collect()
+        return sorted((r.key, r.value) for r in found)
+
+    def once(rows):
+        write_files(spark, tmp_path / "in", rows, 1)
+        events = read_log(spark, str(tmp_path / "in"), stream=True)
+        declared = [*Sessions.ALL, Remember.SHORT, Remember.FOREVER]
+        run(
+            process_keyed(events, Remember(), declared).writeStream.format("noop")
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+
+    once([message(0, "gone", seconds=0), message(1, "kept", seconds=1)])
+    assert cells(Remember.SHORT) == [("gone", "1"), ("kept", "1")]
+    once([message(2, "kept", hours=3)])
+    once([message(3, "end", hours=9)])
+    assert cells(Remember.SHORT) == [("end", "1")]
+    assert cells(Remember.FOREVER) == [("kept", "2")]
+    keys = spark.read.format("statestore").option("stateVarName", "engine-key").load(
+        str(tmp_path / "cp")
+    )
+    assert sorted(r.key.key for r in keys.select("key").collect()) == ["end", "kept"]
