@@ -14,6 +14,12 @@ U32_MAX = 2**32 - 1
 KINDS = ("value", "map", "deque")
 PAYLOADS = ("json", "message")
 
+# Texts that callers match on.
+WHOLE_NUMBER = "must be a whole number in {low}..={high}"
+ONLY_FOR = "only valid for {kind} collections"
+AMBIGUOUS_CACHE = "True is ambiguous; use a duration or False"
+EXPECTED = "expected {choices}, got {found!r}"
+
 
 class Direction(enum.Enum):
     """Scan order of maps and deques."""
@@ -98,13 +104,13 @@ def _whole(number: float | None, field: str, low: int, high: int = U32_MAX) -> N
         return
     wrong_type = isinstance(number, bool) or not isinstance(number, (int, float))
     if wrong_type or not math.isfinite(number) or number != int(number) or not low <= number <= high:
-        raise ValueError(f"{field}: must be a whole number in {low}..={high}")
+        raise ValueError(f"{field}: " + WHOLE_NUMBER.format(low=low, high=high))
 
 
 def check_read_cache(cache: timedelta | float | bool | None, field: str = "read_cache") -> None:
     """A reuse window for published reads: a duration, False for none, None to inherit."""
     if cache is True:
-        raise ValueError(f"{field}: True is ambiguous; use a duration or False")
+        raise ValueError(f"{field}: {AMBIGUOUS_CACHE}")
     if cache is not None and cache is not False:
         duration_us(cache, field)
 
@@ -119,15 +125,16 @@ def check_collections(collections: Sequence[Collection], subsystem: str | None =
         if definition.name in seen:
             raise ValueError(f"{at}.name: {definition.name!r} is declared twice")
         seen.add(definition.name)
-        if definition.kind not in KINDS:
-            raise ValueError(f"{at}.kind: expected one of {KINDS}, got {definition.kind!r}")
-        if definition.payload not in PAYLOADS:
-            raise ValueError(f"{at}.payload: expected one of {PAYLOADS}, got {definition.payload!r}")
+        for option, choices in (("kind", KINDS), ("payload", PAYLOADS)):
+            found = getattr(definition, option)
+            if found not in choices:
+                problem = EXPECTED.format(choices=" or ".join(choices), found=found)
+                raise ValueError(f"{at}.{option}: {problem}")
         _whole(definition.ttl_seconds, f"{at}.ttl_seconds", 0)
         for option, kind, low in (("keyset_limit", "map", 0), ("capacity", "deque", 1)):
             number = getattr(definition, option)
             if number is not None and definition.kind != kind:
-                raise ValueError(f"{at}.{option}: only valid for {kind} collections")
+                raise ValueError(f"{at}.{option}: " + ONLY_FOR.format(kind=kind))
             _whole(number, f"{at}.{option}", low)
         for option in ("read_uncommitted", "published"):
             flag = getattr(definition, option)
