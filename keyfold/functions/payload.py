@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,20 +11,13 @@ def field(payload: Column, name: str) -> Column:
     return F.get_json_object(payload, f"$.{name}")
 
 
-def json_types(payload: Column, names: Sequence[str]) -> Column:
-    """Struct of the JSON types of top-level fields, such as ``STRING`` or ``BIGINT``.
+def json_type(parsed: Column, name: str) -> Column:
+    """JSON type of a top-level field of a decoded payload, such as ``STRING``; null if absent.
 
-    Null where a field is absent. A field declared as text must be JSON text:
-    ``from_json`` would turn a number into text without complaint, so the check reads
-    the type itself.
+    A field declared as text must be JSON text: ``from_json`` would turn a number into
+    text without complaint, so the check reads the type itself.
     """
-    parsed = F.try_parse_json(payload)
-    return F.struct(
-        *[
-            F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant")).alias(name)
-            for name in names
-        ]
-    )
+    return F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
 
 
 def is_json(text: Column) -> Column:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyfold.functions.payload import field, json_types
+from keyfold.functions.payload import field, json_type
 from keyfold.functions.times import Duration, duration_us
 from keyfold.operators.state import after_excise
 from keyfold.plans.chunked import CHUNK_ROWS, with_scan
@@ -131,16 +131,17 @@ def check_schema(events: DataFrame, fields: dict[str, str]) -> DataFrame:
     ``array`` or ``object``. A rejected payload is a permanent failure. Excise
     records carry no payload and pass.
     """
-    types = json_types(F.col("payload"), list(fields))
-    problem = F.lit(None).cast("string")
-    for name, wanted in reversed(fields.items()):
-        fits = F.coalesce(F.col(f"_types.{name}").rlike(_VARIANT_TYPES[wanted]), F.lit(False))
-        problem = F.when(~fits, F.lit(f"{name} must be {wanted}")).otherwise(problem)
-    return (
-        events.withColumn("_types", types)
-        .withColumn("reject_reason", F.when(F.col("payload").isNotNull(), problem))
-        .drop("_types")
-    )
+    def problem_of(parsed: Column) -> Column:
+        problem = F.lit(None).cast("string")
+        for name, wanted in reversed(fields.items()):
+            fits = F.coalesce(json_type(parsed, name).rlike(_VARIANT_TYPES[wanted]), F.lit(False))
+            problem = F.when(~fits, F.lit(f"{name} must be {wanted}")).otherwise(problem)
+        return problem
+
+    # The lambda binds the decoded payload, so that it is decoded once for all fields.
+    decoded = F.array(F.try_parse_json("payload"))
+    problem = F.transform(decoded, problem_of)[0]
+    return events.withColumn("reject_reason", F.when(F.col("payload").isNotNull(), problem))
 
 
 _VARIANT_TYPES = {
