@@ -7,19 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.session import pinned
+
 # One row per marked key: a key, a topic and an offset, so well under 100 bytes each.
 BROADCAST_ROWS = 100_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a frame for broadcast once a count has shown that it is small.
+    """Compute a reduced table once, and mark it for broadcast if it proves small.
 
-    Counting stops at the limit. A larger frame is returned as it is, and the join
-    then shuffles both sides, where adaptive execution splits skewed partitions.
+    The rows go to the checkpoint folder, so that neither the count nor the join reads
+    the source again. Counting stops at the limit. A larger table is returned as it is;
+    the join then shuffles both sides, and adaptive execution splits skewed partitions.
     """
-    if df.isStreaming or df.limit(max_rows + 1).count() > max_rows:
+    if df.isStreaming:
         return df
-    return F.broadcast(df)
+    table = pinned(df)
+    return table if table.limit(max_rows + 1).count() > max_rows else F.broadcast(table)
 
 
 def after_last_mark(
