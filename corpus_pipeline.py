@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import keyfold
-from keyfold.llm import packing, pii, quality
+from keyfold.llm import language, ngram_join, packing, pii, quality
 from keyfold.llm.queries import PII_KEY, WORDS
 from keyfold.llm.store import staged
 
@@ -19,11 +19,21 @@ from keyfold.llm.store import staged
 cloudpickle.register_pickle_by_value(keyfold)
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with one language that holds at least half of their words."""
+    return language.keep(docs)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule and whose host is not rejected."""
     return quality.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the least id, of those that near copies connect."""
+    return ngram_join.keep_one(docs, ngram_join.Likeness(n=5, part=80, over=100))
+
+
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced and ``n_chars`` counted anew."""
     return pii.replace(docs, PII_KEY)
@@ -35,7 +45,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", languages),
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
     ("pseudonyms", pseudonyms),
     ("packing", packed),
 ]

@@ -8,12 +8,13 @@ import re
 import sys
 import types
 from collections.abc import Sequence
-from itertools import chain
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 
 # Entries of the word tables in one worker; a full table is emptied.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 1_000_000
 # Longer words are encoded, but not kept.
 KEPT_CHARS = 48
 # Longer texts are cut at safe places before the byte-level encoder sees them.
@@ -82,30 +83,35 @@ class WordTokens:
             self._surface = {"": b""}
         if len(self._core) + len(words) > WORDS_KEPT:
             self._core = {"": b""}
-        parts: dict[str, tuple[str, str]] = {}
+        known, surface = self._core, self._surface
         letters, others = set(), set()
+        parts: list[tuple[str, str, str]] = []
         for word in words:
             core = word.rstrip(_TAIL)
             if core.isalpha():
                 tail, core = word[len(core) :], core.lower() if core.isascii() else core
-                if core not in self._core:
+                if core not in known:
                     letters.add(core)
-                if tail not in self._core:
+                if tail not in known:
                     others.add(tail)
             else:
                 core, tail = word, ""
-                if word not in self._core:
+                if word not in known:
                     others.add(word)
-            parts[word] = core, tail
-        fresh: dict[str, bytes] = {}
-        for group, encode in ((list(letters), self._together), (list(others), self._each)):
-            fresh.update(zip(group, encode(group)) if group else ())
-        self._core.update((w, i) for w, i in fresh.items() if len(w) <= KEPT_CHARS)
-        known = self._core
+            parts.append((word, core, tail))
         long: dict[str, bytes] = {}
-        for word, (core, tail) in parts.items():
-            ids = (fresh.get(core) or known[core]) + (fresh.get(tail) or known[tail])
-            (self._surface if len(word) <= KEPT_CHARS else long)[word] = ids
+        for group, encode in ((list(letters), self._together), (list(others), self._each)):
+            if group:
+                known.update(zip(group, encode(group)))
+        for word, core, tail in parts:
+            ids = known[core] + known[tail] if tail else known[core]
+            if len(word) <= KEPT_CHARS:
+                surface[word] = ids
+            else:
+                long[word] = ids
+        for core in letters | others:
+            if len(core) > KEPT_CHARS:
+                del known[core]
         return long
 
     def ids(self, texts: Sequence[str | None], block: int = 256) -> list[bytes]:
@@ -113,12 +119,17 @@ class WordTokens:
         found: list[bytes] = []
         for at in range(0, len(texts), block):
             split = [_words(text) for text in texts[at : at + block]]
-            missing = set(chain.from_iterable(split)).difference(self._surface)
-            long = self._learn(missing) if missing else {}
-            missing = set(chain.from_iterable(split)).difference(self._surface, long)
-            if missing:  # the table was emptied
-                long |= self._learn(missing | set(chain.from_iterable(split)))
-            table = {**self._surface, **long} if long else self._surface
+            missing: set[str] = set()
+            for words in split:
+                # only the empty word has no ids
+                missing.update(compress(words, map(not_, map(self._surface.get, words))))
+            missing.discard("")
+            table = self._surface
+            if missing:
+                if len(table) + len(missing) > WORDS_KEPT:
+                    missing = set(chain.from_iterable(split))
+                long = self._learn(missing)
+                table = {**self._surface, **long} if long else self._surface
             found += [b"".join(map(table.__getitem__, words)) for words in split]
         return found
 
