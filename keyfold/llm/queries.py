@@ -99,10 +99,10 @@ _OP2 = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') ws FROM documents),
-at AS (
+places AS (
   SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) p FROM w WHERE len(ws) > 0),
 s AS (
-  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, p, p + 2), ' ') g FROM at),
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, p, p + 2), ' ') g FROM places),
 n AS (SELECT doc_id, count(*) n FROM s GROUP BY 1),
 k AS (
   SELECT a.doc_id a, b.doc_id b, count(*) k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
@@ -121,8 +121,8 @@ _OP7 = rf"""
 WITH w AS (
   SELECT doc_id, source, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '{_WORD}') ws
   FROM documents),
-at AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) p FROM w WHERE len(ws) >= 8),
-g AS (SELECT doc_id, p, array_to_string(list_slice(ws, p, p + 7), ' ') g FROM at),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) p FROM w WHERE len(ws) >= 8),
+g AS (SELECT doc_id, p, array_to_string(list_slice(ws, p, p + 7), ' ') g FROM places),
 again AS (
   SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) c FROM g)
   WHERE c > 1),
