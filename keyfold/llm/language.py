@@ -26,7 +26,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 # Word types whose scores a worker keeps; a full table is emptied.
 _TYPES_KEPT = 400_000
 # Characters of text labelled at a time.
-_CHUNK_CHARS = 1_500_000
+_CHUNK_CHARS = 3_000_000
 
 
 @dataclass(frozen=True)
@@ -53,10 +53,14 @@ def words_of(text: str) -> list[str]:
 
 
 def features(word: str) -> list[str]:
-    marked = f"<{word}>"
-    found = ["", f"w{word}"]
-    found += [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    found += {f"g{marked[i:i + k]}" for k in (1, 2, 3) for i in range(len(marked) - k + 1)}
+    """A constant, the word for the lexicon, affixes of 1 to 3 letters, and inner trigrams."""
+    found = ["", "w" + word, "p" + word[:1], "s" + word[-1:]]
+    size = len(word)
+    if size > 1:
+        found += ("p" + word[:2], "s" + word[-2:])
+    if size > 2:
+        found += ("p" + word[:3], "s" + word[-3:])
+        found += ["g" + word[i : i + 3] for i in range(size - 2)]
     return found
 
 
@@ -71,12 +75,11 @@ class Model:
 
     def scores(self, words: Sequence[str]) -> np.ndarray:
         """One row of label scores per word."""
-        found = np.zeros((len(words), len(self.labels)), np.float32)
-        get = self.known.get
-        for k, word in enumerate(words):
-            rows = [i for f in features(word) if (i := get(f)) is not None]
-            found[k] = self.weights[rows].sum(axis=0)
-        return found
+        get, flat, starts = self.known.get, [], []
+        for word in words:
+            starts.append(len(flat))
+            flat += [i for f in features(word) if (i := get(f)) is not None]
+        return np.add.reduceat(self.weights[flat], starts, axis=0)
 
     def posteriors(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Forward-backward over many sequences at once, laid end to end.
@@ -167,7 +170,11 @@ def fit(rows: Sequence[tuple[str, str]], how: Training = Training()) -> Model |
 
     seen = Counter(f for w in types for f in features(w))
     lexicon = Counter(word)
-    kept = [f for f, c in seen.items() if c > 1 or f[:1] == "w" and lexicon[types[f[1:]]] > 1]
+    kept = [
+        f
+        for f, c in seen.items()
+        if not f or c > 1 or f[0] == "w" and lexicon[types[f[1:]]] > 1
+    ]
     known = {f: k for k, f in enumerate(sorted(kept))}
     flat, owner = [], []
     for w, k in types.items():
