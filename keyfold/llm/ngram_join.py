@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm.components import components
-from keyfold.llm.store import small_side, staged
+from keyfold.llm.store import new_folder, removed, small_side, staged
 
 # Word hashes kept by a worker; a full table is emptied.
 _WORDS_KEPT = 500_000
@@ -141,14 +141,17 @@ def _ordered(sets: DataFrame, rule: Likeness) -> DataFrame:
 
     Classes with more own n-grams than a link allows are left out.
     """
-    grams = sets.select(
-        F.col("set_key").alias("c"), F.col("n_shingles").alias("n"), F.explode("grams").alias("gram")
-    )
+    # a hash and the size stand for the class until its list is whole, to move less
+    own = F.xxhash64("set_key").alias("h")
+    n = F.col("n_shingles").alias("n")
+    grams = sets.select(own, n, F.explode("grams").alias("gram"))
     known = grams.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     lists = (
         grams.join(known, "gram")
-        .groupBy("c", "n")
+        .groupBy("h", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
+        .join(sets.select(own, n, F.col("set_key").alias("c")), ["h", "n"])
+        .select("c", "n", "grams")
     )
     return lists.filter(F.size("grams") >= F.col("n") - rule.misses_of(F.col("n")))
 
@@ -255,7 +258,9 @@ def classes_of(docs: DataFrame, rule: Likeness, id_col: str, text_col: str) -> t
         F.xxhash64(F.col(text_col).cast("string")).alias("mark"),
         F.col(text_col).cast("string").alias("text"),
     )
-    parts = staged(_sets(rows, rule, whole=False), "ngram-parts")
+    spark = docs.sparkSession
+    first = new_folder(spark, "ngram-parts")
+    parts = staged(_sets(rows, rule, whole=False), "ngram-parts", first)
     suspects = _suspects(parts, rule)
     # one document of each suspect class, to read its whole set
     chosen = (
@@ -267,13 +272,15 @@ def classes_of(docs: DataFrame, rule: Likeness, id_col: str, text_col: str) -> t
         .distinct()
     )
     chosen = small_side(staged(chosen, "ngram-suspects"), row_bytes=32)
+    found = staged(parts.drop("grams"), "ngram-documents")
+    removed(spark, first)
     again = rows.join(
         chosen, rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["mark"] == chosen["_mark"]), "left_semi"
     )
     sets = _sets(again, rule, whole=True).dropDuplicates(["set_key"])
     sets = staged(sets.select("set_key", "n_shingles", "grams"), "ngram-sets")
     groups = components(class_links(sets, rule))
-    return parts.drop("grams"), groups
+    return found, groups
 
 
 def document_components(

@@ -18,17 +18,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write the rows as Parquet to the shared folder and read them back.
+def staged(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write the rows as Parquet to the shared folder, or to ``path``, and read them back.
 
     Cuts lineage: what was written survives the loss of executors, and is computed once
     however often it is used. The folder may be removed when its readers are done.
     """
-    path = new_folder(df.sparkSession, label)
+    path = path or new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``new_folder`` that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def small_side(table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a staged table for broadcast if its counted rows fit the limit.
 
