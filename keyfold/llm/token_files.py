@@ -145,7 +145,7 @@ def write_tokens(
             if not batch.num_rows:
                 continue
             if writer is None:
-                sink = store.open_output_stream(own)
+                sink = store.open_output_stream(own, compression=None)
                 writer = FrameWriter(sink, encoder.wide or end_id > 0xFFFF)
             texts = batch.column(1).to_pylist()
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(texts)):

@@ -204,7 +204,7 @@ def test_frames_are_independent_and_checked(tmp_path):
     path = str(tmp_path / "one.zst")
     store = fs.LocalFileSystem()
     ids = {5: np.arange(200_000, dtype="<u4") % 60_000, None: np.array([3], "<u4"), 9: np.zeros(0, "<u4")}
-    with store.open_output_stream(path) as sink:
+    with store.open_output_stream(path, compression=None) as sink:
         writer = token_files.FrameWriter(sink, wide=False)
         for doc_id, values in ids.items():
             writer.add(doc_id, values)
