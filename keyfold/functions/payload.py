@@ -6,9 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _path(name: str) -> str:
+    """JSON path of a top-level field; in brackets a name may hold dots."""
+    return f"$.{name}" if "'" in name else f"$['{name}']"
+
+
 def field(payload: Column, name: str) -> Column:
     """Text of a top-level payload field, null when it is absent."""
-    return F.get_json_object(payload, f"$.{name}")
+    return F.get_json_object(payload, _path(name))
 
 
 def json_type(parsed: Column, name: str) -> Column:
@@ -17,7 +22,7 @@ def json_type(parsed: Column, name: str) -> Column:
     A field declared as text must be JSON text: ``from_json`` would turn a number into
     text without complaint, so the check reads the type itself.
     """
-    return F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
+    return F.schema_of_variant(F.try_variant_get(parsed, _path(name), "variant"))
 
 
 def is_json(text: Column) -> Column:
