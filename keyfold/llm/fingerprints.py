@@ -139,14 +139,18 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sent = F.when(F.coalesce(first | opens, F.lit(False)), F.array(own, before)).otherwise(F.array(own))
     rows = rows.withColumn("_place", place).withColumn("sums", vector(paragraphs(F.col("text"))))
     rows = rows.select("doc_id", "text", "sums", F.explode(sent).alias("_to"))
-    order = Window.partitionBy("_to.at").orderBy(
-        "_to.copy", F.col("doc_id").asc_nulls_first(), "text"
+    # plain columns, so that both windows below share one shuffle
+    rows = rows.select(
+        "doc_id", "text", "sums", F.col("_to.at").alias("_at"), F.col("_to.copy").alias("_copy")
+    )
+    order = Window.partitionBy("_at").orderBy(
+        "_copy", F.col("doc_id").asc_nulls_first(), "text"
     )
     return (
         rows.withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_sums", F.lead("sums").over(order))
-        .filter("_to.copy = 0")
-        .drop("_to")
+        .filter("_copy = 0")
+        .drop("_at", "_copy")
     )
 
 
