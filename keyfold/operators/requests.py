@@ -73,18 +73,28 @@ def handler_responses(calls: DataFrame, group_id: str) -> DataFrame:
     )
 
 
-def first_responses(responses: DataFrame, groups: DataFrame) -> DataFrame:
+def first_responses(
+    responses: DataFrame, groups: DataFrame, requests: DataFrame | None = None
+) -> DataFrame:
     """The first response per request and subsystem, by time and then offset.
 
-    ``groups`` maps group_id to subsystem; any group of a subsystem may answer. The
-    map task keeps one response per request and subsystem, so a flood of answers to
-    one request does not travel.
+    ``groups`` maps group_id to subsystem; any group of a subsystem may answer. With
+    ``requests`` (the rows of ``requested``) only answers between sending and deadline
+    count: that join has the aggregate's keys, so it adds no further shuffle, and
+    adaptive execution splits a request with very many answers. Without it the map task
+    keeps one response per request and subsystem.
     """
     order = F.struct("timestamp", "offset")
     answer = F.struct(F.unix_micros("timestamp").alias("answered_us"), "content_type", "body", "error")
+    known = responses.join(broadcast_if_small(groups), "group_id")
+    if requests is not None:
+        spans = requests.select("request_id", "subsystem", "sent_us", "deadline_us")
+        at = F.unix_micros("timestamp")
+        known = known.join(spans, ["request_id", "subsystem"]).filter(
+            at.between(F.col("sent_us"), F.col("deadline_us"))
+        )
     return (
-        responses.join(broadcast_if_small(groups), "group_id")
-        .groupBy("request_id", "subsystem")
+        known.groupBy("request_id", "subsystem")
         .agg(F.min_by(answer, order).alias("answer"))
     )
 
@@ -92,12 +102,15 @@ def first_responses(responses: DataFrame, groups: DataFrame) -> DataFrame:
 def request_outcomes(requests: DataFrame, first: DataFrame) -> DataFrame:
     """One outcome per requested subsystem; none is ever missing.
 
-    Both sides hold one row per (request, subsystem), so the join cannot fan out. A
-    response after the deadline counts as none. Columns: request_id, subsystem,
-    status, value, error_kind, error_message.
+    ``first`` comes from ``first_responses`` with these requests. Both sides hold one row
+    per (request, subsystem), so the join cannot fan out. A response before the request
+    or after the deadline counts as none. Columns: request_id, subsystem, status, value,
+    error_kind, error_message.
     """
     joined = requests.join(first, ["request_id", "subsystem"], "left")
-    in_time = F.coalesce(F.col("answer.answered_us") <= F.col("deadline_us"), F.lit(False))
+    in_time = F.coalesce(
+        F.col("answer.answered_us").between(F.col("sent_us"), F.col("deadline_us")), F.lit(False)
+    )
     return joined.select(
         "request_id", "subsystem", F.when(in_time, F.col("answer")).alias("answer")
     ).transform(outcome_columns)

@@ -23,7 +23,7 @@ def _outcomes(spark, sf_dir, asked, subsystems):
         asked, F.col("offset"), subsystems, timedelta(days=365)
     )
     first = requests.first_responses(
-        inputs.responses(spark, sf_dir), inputs.groups(spark)
+        inputs.responses(spark, sf_dir), inputs.groups(spark), wanted
     )
     return requests.request_outcomes(wanted, first)
 
@@ -132,23 +132,28 @@ _MESSAGES = """CASE error_kind WHEN 'timeout' THEN 'no response arrived before t
     WHEN 'handler_error' THEN 'returned'
     WHEN 'malformed_response' THEN 'the response did not decode' END"""
 
+# The first answer between sending and deadline.
+_IN_TIME = """in_time AS (
+  SELECT r.* FROM resp r JOIN oe ON oe.off = r.request_id
+  WHERE r.us BETWEEN oe.us AND oe.us + 365 * 86400000000
+  QUALIFY row_number() OVER (
+    PARTITION BY r.request_id, r.subsystem ORDER BY r.us, r.off) = 1)"""
+
 _register(r1_request_outcomes, f"""
-WITH {ORDER_EVENTS}, {RESPONSES}, asked(subsystem) AS (
+WITH {ORDER_EVENTS}, {RESPONSES}, {_IN_TIME}, asked(subsystem) AS (
   VALUES ('inventory'), ('billing'), ('shipping')
 ), o AS (
   SELECT oe.off AS request_id, a.subsystem, f.body,
-    CASE WHEN f.us IS NULL OR f.us > oe.us + 365 * 86400000000 THEN 'timeout'
-         ELSE f.error_kind END AS error_kind
+    CASE WHEN f.us IS NULL THEN 'timeout' ELSE f.error_kind END AS error_kind
   FROM oe CROSS JOIN asked a
-  LEFT JOIN first f ON f.request_id = oe.off AND f.subsystem = a.subsystem)
+  LEFT JOIN in_time f ON f.request_id = oe.off AND f.subsystem = a.subsystem)
 SELECT request_id, subsystem, CASE WHEN error_kind IS NULL THEN 'success' ELSE 'failure' END AS status,
   CASE WHEN error_kind IS NULL THEN body END AS value, {_MESSAGES} AS error_message FROM o""")
 _register(r2_request_excise, f"""
-WITH {ORDER_EVENTS}, {RESPONSES}, o AS (
+WITH {ORDER_EVENTS}, {RESPONSES}, {_IN_TIME}, o AS (
   SELECT oe.off AS request_id, 'billing' AS subsystem,
-    CASE WHEN f.us IS NULL OR f.us > oe.us + 365 * 86400000000 THEN 'timeout'
-         ELSE f.error_kind END AS error_kind
-  FROM oe LEFT JOIN first f ON f.request_id = oe.off AND f.subsystem = 'billing' WHERE oe.tomb)
+    CASE WHEN f.us IS NULL THEN 'timeout' ELSE f.error_kind END AS error_kind
+  FROM oe LEFT JOIN in_time f ON f.request_id = oe.off AND f.subsystem = 'billing' WHERE oe.tomb)
 SELECT request_id, subsystem, CASE WHEN error_kind IS NULL THEN 'success' ELSE 'failure' END AS status,
   error_kind FROM o""")
 _register(r3_outcome_types, f"""
