@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from keyfold.functions.payload import field, json_type
 from keyfold.functions.times import Duration, duration_us
 from keyfold.operators.state import after_excise
-from keyfold.plans.chunked import CHUNK_ROWS, with_scan
+from keyfold.plans.chunked import CHUNK_ROWS, with_scan, with_tail
 from keyfold.sources.events import ENTITY
 
 
@@ -93,17 +93,15 @@ def cart_summary(
     """Per key: items gathered, the last total, and the ends of the bounded backlog.
 
     The backlog is the last ``capacity`` items, so counts and ends come out of partial
-    aggregates and a group limit; no list is built.
+    aggregates and a tail; no list is built.
     """
     alive = _accepted(events, schema).select(
         *ENTITY, "offset",
         field(F.col("payload"), item).alias("item"),
         field(F.col("payload"), total).cast("long").alias("total"),
     )
-    newest = Window.partitionBy(*ENTITY).orderBy(F.desc("offset"))
     oldest = (
-        alive.withColumn("_back", F.row_number().over(newest))
-        .filter(F.col("_back") <= capacity)
+        with_tail(alive, ENTITY, "offset", capacity, "_back")
         .groupBy(*ENTITY)
         .agg(F.max_by("item", "_back").alias("oldest"), F.count("*").alias("backlog"))
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from keyfold.functions.payload import is_json, is_json_null
 from keyfold.functions.times import Duration, duration_us
-from keyfold.plans.chunked import CHUNK_ROWS, with_rank, with_scan
+from keyfold.plans.chunked import CHUNK_ROWS, with_rank, with_scan, with_tail
 from keyfold.plans.joins import after_last_mark
 from keyfold.sources.events import ENTITY, POSITION
 
@@ -174,31 +174,22 @@ def deque_ends(slots: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def write_position(offset: Column, seq: Column) -> Column:
-    """One order for the writes of all attempts: the event's offset, then ``seq``.
-
-    Leaves room for 2**20 writes per event, which keeps offsets up to 2**43.
-    """
-    return F.shiftleft(offset, 20) + seq
+    """One order for the writes of all attempts: the event's offset, then ``seq``."""
+    return F.struct(offset.cast("long").alias("offset"), seq.cast("long").alias("seq"))
 
 
 def bounded_deque(writes: DataFrame, capacity: int) -> DataFrame:
     """The last ``capacity`` appended items per key since its last clear.
 
     Each push over capacity evicts the front, so an append-only deque is the tail of
-    its pushes. The rank filter runs as a group limit below the shuffle: a hot key
-    sends ``capacity`` rows per map task, not its whole history.
+    its pushes; see ``with_tail`` for how a hot key's history is kept out of one task.
     """
     if isinstance(capacity, bool) or not isinstance(capacity, int) or capacity < 1:
         raise ValueError("capacity: must be a whole number of at least 1")
     cleared = writes.filter("op = 'clear'").groupBy(*ENTITY).agg(
         F.max("offset").alias("_cleared")
     )
-    newest = Window.partitionBy(*ENTITY).orderBy(F.desc("offset"))
-    tail = (
-        writes.filter("op = 'append'")
-        .withColumn("_from_back", F.row_number().over(newest))
-        .filter(F.col("_from_back") <= capacity)
-    )
+    tail = with_tail(writes.filter("op = 'append'"), ENTITY, "offset", capacity, "_from_back")
     alive = F.col("_cleared").isNull() | (F.col("offset") > F.col("_cleared"))
     kept = tail.join(cleared, ENTITY, "left").filter(alive)
     size = F.max("_from_back").over(Window.partitionBy(*ENTITY)).cast("long")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyfold.functions.times import SECOND_US, Duration
-from keyfold.plans.chunked import CHUNK_ROWS, with_scan
+from keyfold.plans.chunked import CHUNK_ROWS, with_scan, with_tail
 from keyfold.plans.greedy import greedy_periods
 from keyfold.sources.events import ENTITY
 
@@ -94,25 +94,24 @@ def burst_held(
     """The messages each summary lists: the last ``capacity`` held ones of a window.
 
     Of one second only the last ``capacity`` events can be among them, so a crowded
-    second is cut down before its events meet their window. Both tails are group
-    limits that run before their shuffle, and the join keeps the first one's
-    partitioning.
+    second is cut down before its events meet their window. Tails up to Spark's limit
+    for ranks run before their shuffle, and the join keeps the first one's partitioning.
     """
     messages = _messages(events, chunk_rows)
     periods = greedy_periods(_seconds(messages), _PERIOD, length).select(
         *_PERIOD, "second", "open_second", "close_second",
         F.when(F.col("opens"), F.col("first_offset")).alias("_opening"),
     )
-    in_second = Window.partitionBy(*_PERIOD, "second").orderBy(F.desc("offset"))
-    tails = messages.withColumn("_tail", F.row_number().over(in_second)).filter(
-        F.col("_tail") <= capacity
+    tails = with_tail(
+        messages, [*_PERIOD, "second"], "offset", capacity, "_tail", chunk_rows=chunk_rows
     )
     held = tails.join(periods, [*_PERIOD, "second"]).filter(
         F.col("_opening").isNull() | (F.col("offset") != F.col("_opening"))
     )
-    newest = Window.partitionBy(*_PERIOD, "open_second").orderBy(F.desc("offset"))
     return (
-        held.withColumn("from_back", F.row_number().over(newest))
-        .filter(F.col("from_back") <= capacity)
+        with_tail(
+            held, [*_PERIOD, "open_second"], "offset", capacity, "from_back",
+            chunk_rows=chunk_rows,
+        )
         .select(*_PERIOD, "open_second", "close_second", "offset", "from_back")
     )

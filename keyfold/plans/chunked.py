@@ -117,6 +117,33 @@ def with_scan(
     return out.select(*columns, *running, *totals, *previous, *kept)
 
 
+def with_tail(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    length: int,
+    name: str,
+    *,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """The last ``length`` rows of each key, numbered from 1 at the newest.
+
+    Spark runs short rank limits below the shuffle too, so a map task sends at most
+    ``length`` rows of a key. It does not for limits over its threshold: these are
+    counted from the back chunk by chunk, so no task gets a hot key's whole history.
+    """
+    threshold = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    if length <= int(threshold):
+        newest = Window.partitionBy(*keys).orderBy(F.desc(order))
+        ranked = df.withColumn(name, F.row_number().over(newest))
+    else:
+        ranked = with_scan(
+            df, keys, order, descending=True, chunk=-_chunk_of(order, chunk_rows),
+            running={name: ("sum", F.lit(1))},
+        )
+    return ranked.filter(F.col(name) <= length)
+
+
 def with_rank(
     df: DataFrame, keys: Sequence[str], order: str, name: str, *, descending: bool = False
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from keyfold.operators import filters, jobs, state, timers, windows
-from keyfold.plans.chunked import rolling_sums, with_rank, with_scan
+from keyfold.plans.chunked import rolling_sums, with_rank, with_scan, with_tail
 from keyfold.plans.greedy import greedy_periods
 from keyfold.plans.joins import after_last_mark
 
@@ -309,3 +309,44 @@ def test_hot_keys_never_meet_in_one_window_group(log):
     )._jdf.queryExecution().optimizedPlan().toString()
     wide = [line for line in plan.splitlines() if "Window" in line and "payload" in line]
     assert all("_chunk" in line for line in wide)
+
+
+@pytest.mark.parametrize("length", [3, 1500])
+def test_tail_of_any_length(log, length):
+    found = with_tail(log, ["topic", "key"], "offset", length, "back", chunk_rows=100)
+    by_key = defaultdict(list)
+    for row in log.select("key", "offset").collect():
+        by_key[row.key].append(row.offset)
+    expected = {
+        (key, offset, back)
+        for key, offsets in by_key.items()
+        for back, offset in enumerate(sorted(offsets, reverse=True)[:length], 1)
+    }
+    assert {(r.key, r.offset, r.back) for r in found.collect()} == expected
+
+
+@pytest.mark.parametrize("capacity", [100, 1500])
+def test_a_tail_never_ranks_a_whole_key(log, capsys, capacity):
+    pushes = log.select(
+        "topic", "key", "offset", "timestamp", F.lit("append").alias("op"),
+        F.col("offset").cast("string").alias("value"),
+    )
+    state.bounded_deque(pushes, capacity).explain()
+    plan = capsys.readouterr().out
+    # Ranks of a key run as a limit below the shuffle, or chunk by chunk.
+    assert ("WindowGroupLimit" in plan) == (capacity <= 1000)
+    assert ("_chunk" in plan) == (capacity > 1000)
+
+
+def test_write_positions_hold_any_offset_and_place(spark):
+    writes = spark.createDataFrame(
+        [("t", "k", 1, (1 << 20) + 5, "a"), ("t", "k", 2, 0, "b"), ("t", "n", 1 << 50, 0, "c"),
+         ("t", "n", 5, 9, "d")],
+        "topic string, key string, offset long, seq long, value string",
+    )
+    placed = writes.withColumns({
+        "offset": state.write_position(F.col("offset"), F.col("seq")),
+        "op": F.lit("set"), "timestamp": F.lit(START),
+    })
+    found = {(r.key, r.value) for r in state.value_snapshot(placed).collect()}
+    assert found == {("k", "b"), ("n", "c")}
