@@ -128,8 +128,12 @@ def after_offsets(events: DataFrame, progress: DataFrame) -> DataFrame:
 
 
 def first_by_id_stream(events: DataFrame, ttl: Duration = DEDUP_TTL_SECONDS) -> DataFrame:
-    """Streaming duplicate filter; ids are remembered for the watermark delay.
+    """Streaming duplicate filter for streams without a handler.
 
+    An id is remembered for at least ``ttl`` after its newest event, up to the next
+    micro-batch whose watermark passes that. ``process_keyed(idempotence_ttl=...)``
+    forgets at exactly ``ttl``, and a stream with a handler must use that: Spark allows
+    one watermark.
     Events without an id and excise records bypass the state store.
     """
     marked = _identity(events)
@@ -156,13 +160,14 @@ def incoming(
 ) -> DataFrame:
     """The events a consumer group handles: by type, not its own, each id once.
 
-    Cheap filters come first, so that only what is left is shuffled. A stream
-    remembers ids for ``idempotence_ttl`` (7 days by default); a batch without it
-    keeps the first of each id for good.
+    Cheap filters come first, so that only what is left is shuffled. A batch without
+    ``idempotence_ttl`` keeps the first of each id for good. A stream without it is
+    filtered by type and origin only; duplicates are then skipped by ``process_keyed``,
+    which remembers ids beside the handler's state.
     """
     wanted = drop_own(allowed_types(events, allowed_events), group_id)
     if events.isStreaming:
-        return first_by_id_stream(wanted, idempotence_ttl or DEDUP_TTL_SECONDS)
+        return wanted if idempotence_ttl is None else first_by_id_stream(wanted, idempotence_ttl)
     if idempotence_ttl is None:
         return first_by_id(wanted)
     return first_by_id_within(wanted, idempotence_ttl)

@@ -79,9 +79,12 @@ def publish(
     """Write a committed snapshot; writing a batch again replaces it.
 
     Only a batch whose rows are complete enters the log, so readers never see a
-    half-written one.
+    half-written one. ``published=False`` retires the collection; where ``published`` was
+    not set, what other runs published stays as it is.
     """
     check_collections([definition], subsystem)
+    if definition.published is None:
+        return
     if definition.published:
         folder = _folder(path, subsystem, definition.name, group_id)
         snapshot.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
@@ -99,7 +102,11 @@ def _folder(path: str, subsystem: str, collection: str, group_id: str) -> str:
 
 
 def publisher(path: str, definition: Collection, *, subsystem: str, group_id: str):
-    """A ``foreachBatch`` function that publishes each micro-batch's snapshot."""
+    """A ``foreachBatch`` function that publishes each micro-batch as the whole state.
+
+    Only for queries in complete mode, whose micro-batches hold all keys. State of
+    handlers is published with ``keyfold.streaming.publish_state``.
+    """
 
     def write(snapshot: DataFrame, batch_id: int) -> None:
         publish(

@@ -8,6 +8,7 @@ from keyfold.streaming.process import (
     committed_state,
     dead_letter_rows,
     output_rows,
+    parked_rows,
     process_keyed,
     publish_state,
     response_rows,
@@ -16,6 +17,7 @@ from keyfold.streaming.process import (
 
 __all__ = [
     "EventHandler", "ExciseMessage", "Message", "Timer", "call_rows", "check_no_late_rows",
-    "collection_rows", "committed_state", "dead_letter_rows", "output_rows", "process_keyed", "publish_state",
+    "collection_rows", "committed_state", "dead_letter_rows", "output_rows",
+    "parked_rows", "process_keyed", "publish_state",
     "response_rows", "telemetry_rows",
 ]

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 from typing import Any
 
+from keyfold.errors import PermanentError
 from keyfold.functions.times import HALF_SECOND_US, SECOND_US
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -71,7 +72,12 @@ def deliver(topic, partition, offset, micros, key, headers, payload) -> ExciseMe
     place = (topic, partition, offset, from_us(micros), key, headers or {})
     if payload is None:
         return ExciseMessage(*place)
-    return Message(*place, json.loads(payload), _DELIVERED)
+    try:
+        body = json.loads(payload)
+    except ValueError as cause:
+        # No retry can mend the text.
+        raise PermanentError(f"payload is not JSON: {cause}") from cause
+    return Message(*place, body, _DELIVERED)
 
 
 @dataclass(frozen=True)

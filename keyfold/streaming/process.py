@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from keyfold.definitions import Collection, check_collections
 from keyfold.functions.times import Duration, duration_us
+from keyfold.operators.filters import DEDUP_VERSION, event_id
 from keyfold.operators.failures import (
     DEFER_BASE_SECONDS, DEFER_CAP_SECONDS, MAX_RETRIES, MODES, deadline_us,
 )
@@ -22,8 +23,8 @@ from keyfold.streaming.handles import ENDS_CELL
 from keyfold.streaming.messages import check_handler
 from keyfold.streaming.processor import OUTPUT_SCHEMA, KeyedProcessor
 
-# Batch runs must end, so a call that never succeeds is given up after these tries.
-BATCH_ATTEMPTS = 10
+# Batch runs must end: tries of a failing call once the input is at its end.
+END_ATTEMPTS = 10
 
 
 def process_keyed(
@@ -36,6 +37,9 @@ def process_keyed(
     defer_base: Duration = DEFER_BASE_SECONDS,
     defer_max_delay: Duration = DEFER_CAP_SECONDS,
     max_attempts: int | None = None,
+    end_attempts: int = END_ATTEMPTS,
+    idempotence_ttl: Duration | None = None,
+    idempotence_version: str = DEDUP_VERSION,
     timeout: Duration | None = None,
     subsystem: str | None = None,
     lateness: Duration = 0,
@@ -56,6 +60,15 @@ def process_keyed(
     and drop columns before this call, or fold with ``keyfold.operators`` where the
     job allows it; those split hot keys.
 
+    A call is retried until it succeeds, unless ``max_attempts`` is given: then it is
+    dead-lettered. As a batch must end, what still fails ``end_attempts`` times after the
+    last event comes out as ``parked`` rows, with all that waits behind it, in order.
+
+    ``idempotence_ttl`` skips events whose id the key has seen in that time, under the
+    same ``idempotence_version``; events without an id always pass. It is the duplicate
+    filter for streams, as one watermark serves both steps. A skipped event does not move
+    the key's clock.
+
     ``lateness`` is the watermark delay of a stream. Spark drops events older than
     the watermark, so set it beyond the disorder between partitions, and see
     ``check_no_late_rows``. ``with_state`` adds rows with each key's final state to a
@@ -74,7 +87,9 @@ def process_keyed(
         handler, collections,
         mode=mode, max_retries=max_retries,
         backoff_seconds=(_seconds(defer_base), _seconds(defer_max_delay)),
-        max_attempts=max_attempts if streaming else max_attempts or BATCH_ATTEMPTS,
+        max_attempts=max_attempts, end_attempts=end_attempts,
+        ids=None if idempotence_ttl is None
+        else (duration_us(idempotence_ttl, "idempotence_ttl"), str(idempotence_version)),
         timeout_seconds=deadline_us(timeout) / 1e6,
         streaming=streaming, with_state=with_state, telemetry=telemetry,
     )
@@ -86,6 +101,8 @@ def process_keyed(
     rows = events.select(
         *ENTITY, "partition", "offset", "payload", headers.alias("headers"), "timestamp",
         F.unix_micros("timestamp").alias("us"),
+        (F.lit(None).cast("string") if idempotence_ttl is None else event_id(F.col("payload")))
+        .alias("event_id"),
     )
     if streaming:
         delay = f"{duration_us(lateness, 'lateness') // 1000} milliseconds"
@@ -120,6 +137,13 @@ def dead_letter_rows(rows: DataFrame, failure_topic: str) -> DataFrame:
     )
 
 
+def parked_rows(rows: DataFrame) -> DataFrame:
+    """What a batch run left undone, in order per key: run these events again."""
+    return rows.filter("kind = 'parked'").select(
+        *ENTITY, "call", "partition", "offset", "time", "attempt", F.col("value").alias("payload"),
+    )
+
+
 def response_rows(rows: DataFrame, group_id: str) -> DataFrame:
     """Answers to requests, in the shape ``operators.requests`` reads."""
     return rows.filter("kind = 'response'").select(
@@ -154,13 +178,29 @@ def collection_rows(rows: DataFrame, definition: Collection) -> DataFrame:
     return mine.select(*ENTITY, F.col("cell").cast("long").alias("position"), "size", "value")
 
 
-def committed_state(spark: SparkSession, checkpoint: str, definition: Collection) -> DataFrame:
+def committed_state(
+    spark: SparkSession,
+    checkpoint: str,
+    definition: Collection,
+    *,
+    as_of: datetime | None = None,
+    batch_id: int | None = None,
+) -> DataFrame:
     """A collection's committed state, read from a stream's checkpoint.
 
-    Holds what the last finished micro-batch left, so uncommitted changes never show.
+    Holds what the last finished micro-batch left, or the one asked for, so uncommitted
+    changes never show. ``as_of`` leaves out what has expired by then; without it, cells
+    that the stream has not purged yet are still there. Expired slots of a deque keep
+    their place: the others' positions and the size stay.
     """
     reader = spark.read.format("statestore").option("stateVarName", definition.name)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
     raw = reader.load(checkpoint)
+    content = "value" if definition.kind == "value" else "user_map_value"
+    if as_of is not None:
+        expires = F.col(f"{content}.expires")
+        raw = raw.filter(expires.isNull() | (expires > F.unix_micros(F.lit(as_of))))
     if definition.kind == "value":
         return raw.select("key.*", F.col("value.v").alias("value"))
     cell = F.col("user_map_key.k" if definition.kind == "map" else "user_map_key.slot")
@@ -186,11 +226,12 @@ def publish_state(
     group_id: str,
     as_of: datetime,
 ) -> None:
-    """Publish a collection as the stream's last finished micro-batch left it."""
+    """Publish a collection as the stream's last finished micro-batch left it at ``as_of``."""
     batches = spark.read.format("state-metadata").load(checkpoint)
     batch_id = batches.agg(F.max("maxBatchId")).first()[0]
     publish(
-        committed_state(spark, checkpoint, definition), path, definition,
+        committed_state(spark, checkpoint, definition, as_of=as_of, batch_id=batch_id),
+        path, definition,
         subsystem=subsystem, group_id=group_id, batch_id=batch_id, as_of=as_of,
     )
 

@@ -9,6 +9,7 @@ watermark.
 from __future__ import annotations
 
 import asyncio
+import heapq
 import inspect
 import json
 from collections.abc import Iterator, Sequence
@@ -20,7 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from keyfold.definitions import Collection
 from keyfold.errors import PermanentError, category
-from keyfold.functions.times import SECOND_US
+from keyfold.functions.times import HALF_SECOND_US, SECOND_US
 from keyfold.operators.requests import REQUEST_HEADER
 from keyfold.streaming.handles import (
     AsyncView, Attempt, Handle, KeyCells, SparkCells, bind, encode_json, final_state,
@@ -38,6 +39,9 @@ _OutputRow = Row(*[part.split()[0] for part in OUTPUT_SCHEMA.split(", ")])
 # last digits tell the timers of handlers, of retries and of expiry apart.
 _RETRY_MS, _PURGE_MS = 1, 2
 
+# How often expired cells and ids are looked for, at most.
+_PURGE_SECONDS = 3600
+
 _KEY_SCHEMA = "clock long, parked_from long, parked_to long, failures int"
 
 
@@ -72,7 +76,7 @@ class Context:
 
     def schedule(self, moment: datetime) -> None:
         self._attempt.check()
-        self._run.timers.add(nearest_second(moment))
+        self._run.add_timer(nearest_second(moment))
 
     def unschedule(self, moment: datetime) -> None:
         self._attempt.check()
@@ -106,6 +110,19 @@ class KeyRun:
         self.parked_from = self.parked_to = self.failures = 0
         self.retry_second: int | None = None
         self.saved_timers: set[int] = set()
+        self.ids_expire = 0
+        self._queue: list[int] = []
+
+    def add_timer(self, second: int) -> None:
+        if second not in self.timers:
+            self.timers.add(second)
+            heapq.heappush(self._queue, second)
+
+    def next_timer(self) -> int | None:
+        """The earliest timer; seconds no longer in ``timers`` leave the queue here."""
+        while self._queue and self._queue[0] not in self.timers:
+            heapq.heappop(self._queue)
+        return self._queue[0] if self._queue else None
 
     @property
     def has_parked(self) -> bool:
@@ -124,6 +141,8 @@ class KeyedProcessor(StatefulProcessor):
         max_retries: int,
         backoff_seconds: tuple[int, int],
         max_attempts: int | None,
+        end_attempts: int,
+        ids: tuple[int, str] | None,
         timeout_seconds: float | None,
         streaming: bool,
         with_state: bool,
@@ -132,6 +151,7 @@ class KeyedProcessor(StatefulProcessor):
         self._handler, self._collections = handler, list(collections)
         self._mode, self._max_retries = mode, max_retries
         self._backoff, self._max_attempts = backoff_seconds, max_attempts
+        self._end_attempts, self._ids = end_attempts, ids
         self._timeout, self._streaming = timeout_seconds, streaming
         self._with_state, self._telemetry = with_state, telemetry
 
@@ -142,6 +162,10 @@ class KeyedProcessor(StatefulProcessor):
         self._stores = {c.name: SparkCells(handle, c) for c in self._collections}
         self._key_state = handle.getValueState("engine-key", _KEY_SCHEMA)
         self._parked = handle.getMapState("engine-parked", "n long", "call string")
+        if self._ids is not None:
+            self._seen = handle.getMapState(
+                "engine-ids", "id string", "version string, expires long"
+            )
         self._loop: asyncio.AbstractEventLoop | None = None
         methods = {n: getattr(self._handler, n) for n in ("on_message", "on_excise", "on_timer")}
         self._methods = {n: (m, inspect.iscoroutinefunction(m)) for n, m in methods.items()}
@@ -162,6 +186,8 @@ class KeyedProcessor(StatefulProcessor):
             if last is not None and place < last:
                 raise RuntimeError(f"rows of key {run.key!r} are out of order: {last}, {place}")
             last = place
+            if self._is_duplicate(run, row):
+                continue
             yield from self._advance(run, row.us)
             run.clock = max(run.clock, row.us)
             yield from self._deliver(run, _record_call(row))
@@ -182,6 +208,31 @@ class KeyedProcessor(StatefulProcessor):
         else:
             self._save(run)
 
+    # Duplicates
+
+    def _is_duplicate(self, run: KeyRun, row: Row) -> bool:
+        """True if the event's id is remembered; otherwise it is from now on."""
+        if self._ids is None or row.event_id is None:
+            return False
+        ttl_us, version = self._ids
+        found = self._seen.getValue((row.event_id,))
+        if found is not None and found[0] == version and row.us // SECOND_US < found[1]:
+            return True
+        expires = (row.us + ttl_us + HALF_SECOND_US) // SECOND_US
+        self._seen.updateValue((row.event_id,), (version, expires))
+        run.ids_expire = max(run.ids_expire, expires)
+        return False
+
+    def _forget_ids(self, now_us: int) -> bool:
+        """Drop ids that have expired; true if any is left."""
+        if self._ids is None:
+            return False
+        held = list(self._seen.iterator())
+        gone = [name for name, content in held if content[1] * SECOND_US <= now_us]
+        for name in gone:
+            self._seen.removeKey(tuple(name))
+        return len(gone) < len(held)
+
     # Loading and saving a key
 
     def _load(self, key: Any) -> KeyRun:
@@ -193,7 +244,7 @@ class KeyedProcessor(StatefulProcessor):
             run.clock, run.parked_from, run.parked_to, run.failures = saved
             for timer in self._spark.listTimers():
                 if timer % 1000 == 0:
-                    run.timers.add(timer // 1000)
+                    run.add_timer(timer // 1000)
                 elif timer % 1000 == _RETRY_MS:
                     run.retry_second = timer // 1000
         run.saved_timers = self._timer_ms(run)
@@ -211,10 +262,16 @@ class KeyedProcessor(StatefulProcessor):
         for timer in wanted - run.saved_timers:
             self._spark.registerTimer(timer)
         expiry = max((cells.last_expiry for cells in run.cells.values()), default=0)
-        if expiry and self._streaming:
-            # Rounded up to the hour, so that a busy key has few of these at a time.
-            hour = -(-expiry // (3600 * SECOND_US))
-            self._spark.registerTimer(hour * 3_600_000 + _PURGE_MS)
+        if self._streaming:
+            # Rounded up, so that a busy key has few of these at a time.
+            self._purge_at(-(-expiry // SECOND_US), _PURGE_SECONDS)
+            if self._ids is not None:
+                # Each look reads all ids of the key: an id is read eight times or so.
+                self._purge_at(run.ids_expire, max(_PURGE_SECONDS, self._ids[0] // SECOND_US // 8))
+
+    def _purge_at(self, second: int, step: int) -> None:
+        if second:
+            self._spark.registerTimer(-(-second // step) * step * 1000 + _PURGE_MS)
 
     def _timer_ms(self, run: KeyRun) -> set[int]:
         timers = {second * 1000 for second in run.timers}
@@ -224,7 +281,7 @@ class KeyedProcessor(StatefulProcessor):
 
     def _purge(self, run: KeyRun, now_us: int) -> bool:
         """Drop cells that have expired, which reads hide until then; true if none is left."""
-        left = bool(run.timers) or run.has_parked
+        left = self._forget_ids(now_us) or bool(run.timers) or run.has_parked
         for cells in run.cells.values():
             held = list(cells.scan())
             gone = [c for c, content in held if content[1] and content[1] <= now_us]
@@ -238,7 +295,7 @@ class KeyedProcessor(StatefulProcessor):
     def _advance(self, run: KeyRun, until_us: int) -> Iterator[Row]:
         """Fire, in time order, what is due at or before ``until_us``."""
         while True:
-            due = [s for s in (min(run.timers, default=None), run.retry_second) if s is not None]
+            due = [s for s in (run.next_timer(), run.retry_second) if s is not None]
             if not due or min(due) * SECOND_US > until_us:
                 return
             second = min(due)
@@ -250,10 +307,29 @@ class KeyedProcessor(StatefulProcessor):
                 yield from self._deliver(run, {"call": "on_timer", "us": second * SECOND_US})
 
     def _drain(self, run: KeyRun) -> Iterator[Row]:
-        """At the end of batch input everything that still waits comes due."""
+        """At the end of batch input everything that still waits comes due.
+
+        A call that goes on failing leaves as a ``parked`` row, and so does all that
+        waits behind it, in order: nothing is given up and nothing overtakes it.
+        """
+        tries = 0
         while run.timers or run.retry_second is not None:
             last = max(s for s in (*run.timers, run.retry_second) if s is not None)
+            head = run.parked_from if run.has_parked else None
             yield from self._advance(run, last * SECOND_US)
+            stuck = run.has_parked and run.parked_from == head
+            tries = tries + 1 if stuck else 0
+            if stuck and not run.timers and tries >= self._end_attempts:
+                yield from self._hand_back(run)
+
+    def _hand_back(self, run: KeyRun) -> Iterator[Row]:
+        attempt, run.failures, run.retry_second = run.failures, 0, None
+        while run.has_parked:
+            call = json.loads(self._parked.getValue((run.parked_from,))[0])
+            self._parked.removeKey((run.parked_from,))
+            run.parked_from += 1
+            yield self._row("parked", run, call, attempt, "parked", value=call.get("payload"))
+            attempt = 0
 
     # Calls
 

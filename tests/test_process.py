@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from keyfold import definitions as d
 from keyfold.errors import PermanentError, TransientError
-from keyfold.operators import requests, state
+from keyfold.operators import filters, requests, state
 from keyfold.streaming import (
-    EventHandler, call_rows, collection_rows, dead_letter_rows, output_rows, process_keyed,
+    EventHandler, call_rows, collection_rows, dead_letter_rows, output_rows, parked_rows, process_keyed,
     response_rows,
 )
 
@@ -141,6 +141,47 @@ def test_pipeline_batch_ends_with_a_call_that_never_succeeds(spark):
     assert [r.offset for r in output_rows(rows).collect()] == [1]
 
 
+def test_pipeline_batch_hands_back_what_never_succeeds(spark):
+    rows = process_keyed(
+        events(
+            spark, (0, "a", '{"id":1,"good":1}'), (1, "a", '{"id":2,"good":-1}'),
+            (2, "a", '{"id":3,"good":1}'), (3, "a", None), (4, "b", '{"id":4,"good":1}'),
+        ),
+        Flaky(), FLAKY, end_attempts=3,
+    )
+    waiting = [(r.key, r.offset, r.call, r.payload) for r in parked_rows(rows).collect()]
+    assert waiting == [
+        ("a", 1, "on_message", '{"id":2,"good":-1}'), ("a", 2, "on_message", '{"id":3,"good":1}'),
+        ("a", 3, "on_excise", None),
+    ]
+    assert sorted(r.offset for r in output_rows(rows).collect()) == [0, 4]
+    assert dead_letter_rows(rows, "failed").count() == 0
+
+
+def test_an_undecodable_payload_fails_for_good(spark):
+    rows = process_keyed(events(spark, (0, "a", "{no json"), (1, "a", '{"id":1,"good":1}')),
+                         Flaky(), FLAKY)
+    assert [(r.offset, r.outcome, r.category) for r in call_rows(rows).collect()] == [
+        (0, "permanent", "permanent")
+    ]
+    assert [r.offset for r in output_rows(rows).collect()] == [1]
+
+
+def test_remembered_ids_skip_events_until_they_expire(spark):
+    class Offsets(Base):
+        def on_message(self, context, message):
+            context.emit(message.offset)
+
+    log = events(
+        spark, (0, "a", '{"id":"x"}'), (1, "a", '{"id":"x"}'), (1, "b", '{"id":"x"}'),
+        (2, "a", '{"n":1}'), (3, "a", '{"n":1}'), (5, "a", '{"id":"x"}'), (6, "a", '{"id":"x"}'),
+    )
+    rows = process_keyed(log, Offsets(), idempotence_ttl=5)
+    kept = sorted(r.offset for r in output_rows(rows).collect())
+    batch = filters.incoming(log, group_id="g", idempotence_ttl=5)
+    assert kept == [0, 2, 3, 4, 5] == sorted(r.offset for r in batch.collect())
+
+
 def test_low_latency_retries_then_dead_letters(spark):
     calls, _, rows = flaky(spark, mode="low-latency", max_retries=1)
     assert [c[1:4] for c in calls if c[0] == "a"] == [

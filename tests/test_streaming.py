@@ -236,6 +236,90 @@ def test_streaming_dedup_equals_batch(spark, tmp_path, rows):
     assert rows(count(kept)) == rows(count(batch))
 
 
+class Kept(EventHandler):
+    """Emits what reaches it and remembers it for two hours."""
+
+    SHORT = d.map("short", ttl=timedelta(hours=2))
+
+    def on_message(self, context, message):
+        context.state(self.SHORT).set(str(message.offset), message.offset)
+        context.emit(message.offset)
+
+    def on_excise(self, context, message):
+        pass
+
+    def on_timer(self, context, timer):
+        pass
+
+
+def test_filters_and_handler_share_one_stream(spark, tmp_path):
+    def day(offset, days, kind="order.new", **where):
+        body = '{"id":"a","type":"%s"}' % kind
+        return ("t", 0, offset, START + timedelta(days=days), "k", body, where)
+
+    log = [day(0, 0), day(1, 1), day(2, 2, "other"), day(3, 8), day(4, 9), day(5, 16)]
+    for n, row in enumerate(log):
+        write_files(spark, tmp_path / "in", [row], 1)
+
+    def kept(events, version="1", **options):
+        wanted = filters.incoming(events, group_id="g", allowed_events=["order."], **options)
+        return process_keyed(
+            wanted, Kept(), [Kept.SHORT], lateness=timedelta(hours=1),
+            idempotence_ttl=timedelta(days=7), idempotence_version=version,
+        )
+
+    def once(version):
+        events = read_log(spark, str(tmp_path / "in"), stream=True, max_files_per_trigger=1)
+        query = (
+            output_rows(kept(events, version)).writeStream.format("parquet")
+            .option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+        run(query)
+        return sorted(r.offset for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert once("1") == [0, 3, 5]
+    batch = filters.incoming(
+        read_log(spark, str(tmp_path / "in")), group_id="g", allowed_events=["order."],
+        idempotence_ttl=timedelta(days=7),
+    )
+    assert sorted(r.offset for r in batch.collect()) == [0, 3, 5]
+
+    # Two hours on, what the handler stored has expired; readers do not see it.
+    def stored(**when):
+        found = committed_state(
+            spark, str(tmp_path / "cp"), Kept.SHORT, as_of=START + timedelta(days=16, **when)
+        )
+        return [r.map_key for r in found.collect()]
+
+    assert stored(hours=1) == ["5"] and stored(hours=2) == []
+
+    # An id recorded under another version counts for nothing.
+    write_files(spark, tmp_path / "in", [day(6, 17), day(7, 18)], 1)
+    assert once("2") == [0, 3, 5, 6]
+
+
+def test_answers_before_the_request_do_not_count(spark):
+    asked = requests.requested(
+        spark.createDataFrame([("t", "k", START)], "topic string, key string, timestamp timestamp"),
+        F.lit("r"), ["stock"], timedelta(seconds=10),
+    )
+    groups = spark.createDataFrame([("g", "stock")], "group_id string, subsystem string")
+
+    def value(*seconds):
+        answers = spark.createDataFrame(
+            [("r", "g", START + timedelta(seconds=s), n, "json", str(s), None)
+             for n, s in enumerate(seconds)],
+            "request_id string, group_id string, timestamp timestamp, offset long, "
+            "content_type string, body string, error string",
+        )
+        first = requests.first_responses(answers, groups, asked)
+        return requests.request_outcomes(asked, first).first().value
+
+    assert value(-86_400, 5, 7) == "5"
+    assert value(-1) is None and value(11) is None and value(0, 10) == "0"
+
+
 def test_streaming_reports_equal_batch_windows(spark, tmp_path, rows):
     log = make_log()
     write_files(spark, tmp_path / "in", log, 3)
@@ -285,11 +369,11 @@ def test_streaming_requests_equal_batch(spark, tmp_path, rows):
         {"topic": F.lit("t"), "key": F.lit("k")}
     )
     groups = spark.createDataFrame([("g", "stock")], "group_id string, subsystem string")
+    wanted = requests.requested(events, F.col("request_id"), ["stock"], timedelta(seconds=10))
     first = requests.first_responses(
         spark.createDataFrame(answers, answer_schema).drop("subsystem").withColumn("group_id", F.lit("g")),
-        groups,
+        groups, wanted,
     )
-    wanted = requests.requested(events, F.col("request_id"), ["stock"], timedelta(seconds=10))
     expected = rows(requests.request_outcomes(wanted, first).filter("request_id != 'end'"), *columns)
     assert found == expected and len(found) == 60
 
