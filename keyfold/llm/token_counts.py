@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyfold.llm.store import staged
 from keyfold.llm.tokens import ByteTokens
 
 # Lengths that share a block of the two-level sums.
@@ -51,9 +52,10 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     each limit between two lengths as well, see ``at_limits``.
 
     Sums go over blocks of lengths first and then within each block, so no task sees more
-    than 1,024 lengths, or one row per block.
+    than 1,024 lengths, or one row per block. The histogram is used twice, so it is staged:
+    its documents are encoded once.
     """
-    rows = hist.withColumn("_block", F.floor(F.col("n_tokens") / _BLOCK))
+    rows = staged(hist, "lengths").withColumn("_block", F.floor(F.col("n_tokens") / _BLOCK))
     tokens = F.col("n_tokens") * F.col("n_docs")
     blocks = rows.groupBy("_block").agg(
         F.sum("n_docs").alias("_docs"),
