@@ -410,6 +410,9 @@ def test_published_state(spark, tmp_path, rows):
     assert rows(cached.snapshot(), "value") == [("2",), ("4",)]  # within the cache window
     assert rows(reader.snapshot(), "value") == [("5",)]
 
+    put(10, "g1", [("t", "k", "a", "6")], d.map("totals"))  # not set: nothing changes
+    assert rows(reader.snapshot(), "value") == [("5",)]
+
     for group in ("g1", "g2"):
         put(10, group, [], d.map("totals", published=False))
     with pytest.raises(LookupError, match="retired"):
