@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,24 +155,42 @@ def scan(
     ).filter(F.size("_text") >= SHINGLE)
     rows = rows.withColumn("_all", _shingle_hashes("_text"))
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("_all") - 1), F.lit(_STEP))
-    windows = F.transform(starts, lambda i: F.slice(F.col("_all"), i + 1, _SHINGLES))
-    rows = rows.select("doc_id", "_text", F.posexplode(windows).alias("_no", "_window"))
     known_keys = sorted({key for _, key in keys})
-    hits = F.filter(_band_keys(F.col("_window"), masks), lambda k: k.isin(known_keys))
-    rows = rows.withColumn("_hits", hits).filter(F.size("_hits") > 0)
+
+    def retrieved(window: Column, number: Column) -> Column:
+        return F.struct(
+            (number * _STEP).alias("start"),
+            F.filter(_band_keys(window, masks), lambda k: k.isin(known_keys)).alias("keys"),
+        )
+
+    # only retrieved windows leave the text's row, with the words that may hold a template
+    windows = F.transform(starts, lambda i: F.slice(F.col("_all"), i + 1, _SHINGLES))
+    found = F.filter(F.transform(windows, retrieved), lambda w: F.size(w["keys"]) > 0)
+    rows = rows.select("doc_id", "_text", found.alias("_found"))
+    most = max(table.select(F.size("_words")).collect())[0]
+    near = F.transform(
+        "_found",
+        lambda w: F.struct(
+            w["start"].alias("start"),
+            w["keys"].alias("keys"),
+            F.slice(F.col("_text"), F.greatest(F.lit(1), w["start"] + 1 - most), 2 * most + WINDOW).alias("near"),
+        ),
+    )
+    rows = rows.select("doc_id", F.explode(near).alias("_w"))
+    rows = rows.select(
+        "doc_id", F.col("_w.start").alias("_start"), F.col("_w.near").alias("_near"), F.explode("_w.keys").alias("_k")
+    )
 
     lookup = spark.createDataFrame(keys, "_template int, _key long")
     lookup = lookup.groupBy("_key").agg(F.collect_set("_template").alias("_templates"))
-    rows = rows.select("doc_id", "_text", "_no", F.explode("_hits").alias("_k"))
     rows = rows.join(F.broadcast(lookup), F.col("_k") == F.col("_key"))
-    rows = rows.select("doc_id", "_text", "_no", F.explode("_templates").alias("_t"))
+    rows = rows.select("doc_id", "_start", "_near", F.explode("_templates").alias("_t"))
     known = F.broadcast(table.withColumnsRenamed({"_words": "_their", "_hashes": "_theirs"}))
     rows = rows.join(known, F.col("_t") == F.col("template"))
 
     length = F.size("_their")
-    around = F.slice(
-        "_text", F.greatest(F.lit(1), F.col("_no") * _STEP + 1 - length), length * 2 + WINDOW
-    )
+    first = lambda size: F.greatest(F.lit(1), F.col("_start") + 1 - size)
+    around = F.slice("_near", first(length) - first(F.lit(most)) + 1, length * 2 + WINDOW)
     rows = rows.withColumn("_around", around)
 
     def strings(col: str) -> Column:
@@ -187,5 +204,5 @@ def scan(
     share = F.size(F.array_intersect("_wanted", strings("_around"))) / F.size("_wanted")
     rows = rows.withColumn("_share", share).filter(F.col("_share") >= containment)
     return rows.groupBy("doc_id", "license").agg(
-        F.max("_share").alias("containment"), F.count_distinct("_no").alias("n_windows")
+        F.max("_share").alias("containment"), F.count_distinct("_start").alias("n_windows")
     )
