@@ -25,6 +25,8 @@ UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 # Word types whose scores a worker keeps; a full table is emptied.
 _TYPES_KEPT = 400_000
+# How many times the wanted texts are ranked to choose them; covers the estimate's error.
+_SPARE = 4
 # Characters of text labelled at a time.
 _CHUNK_CHARS = 3_000_000
 
@@ -33,8 +35,8 @@ _CHUNK_CHARS = 3_000_000
 class Training:
     """Bounds and settings of the fit.
 
-    The sample is the only bounded part: ``docs_per_language`` documents, those least by a
-    hash of their text, and ``chars`` characters of each. Sequences of ``length`` words join
+    The sample is the only bounded part: ``docs_per_language`` different texts, those least
+    by a hash, and ``chars`` characters of each. Sequences of ``length`` words join
     runs of ``run`` words on average from different texts, so that transitions are learned.
     """
 
@@ -120,18 +122,29 @@ class Model:
 
 
 def sample(docs: DataFrame, how: Training, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``label, text`` of the training sample: rows not held out, with text and label."""
+    """``label, text`` of the training sample: rows not held out, with text and label.
+
+    Of each label's different texts those with the least hashes. A first pass estimates how
+    many there are, and the second keeps hashes below a bound that leaves a few times as
+    many as are wanted, so that what is sorted does not grow with the number of tasks.
+    Copies of a text count once and are merged before the shuffle.
+    """
     rows = docs.select(
         F.col(label_col).cast("string").alias("label"),
-        F.substring(F.col(text_col).cast("string"), 1, how.chars).alias("text"),
-        F.xxhash64(F.col(text_col).cast("string")).alias("h"),
+        F.col(text_col).cast("string").alias("text"),
         held_out(id_col).alias("held"),
     ).filter("label is not null and text is not null and held = false")
-    order = Window.partitionBy("label").orderBy("h", "text")
-    rows = rows.withColumn("k", F.row_number().over(order)).filter(
-        F.col("k") <= how.docs_per_language
-    )
-    return rows.select("label", "text")
+    rows = rows.select("label", F.substring("text", 1, how.chars).alias("text"), F.xxhash64("text").alias("h"))
+    different = rows.groupBy("label").agg(F.approx_count_distinct("h", 0.05).alias("d"))
+    share = F.least(F.lit(1.0), F.lit(_SPARE * how.docs_per_language) / F.col("d"))
+    shares = [tuple(r) for r in different.select("label", share).collect()]
+    bounds = docs.sparkSession.createDataFrame(shares, "_label string, _share double")
+    place = F.shiftrightunsigned("h", 12) / F.lit(2.0**52)
+    near = rows.join(F.broadcast(bounds), F.col("label") == F.col("_label")).filter(place < F.col("_share"))
+    texts = near.groupBy("label", "h").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("label").orderBy(F.shiftrightunsigned("h", 12), "h")
+    ranked = texts.withColumn("k", F.row_number().over(order))
+    return ranked.filter(F.col("k") <= how.docs_per_language).select("label", "text")
 
 
 def held_out(id_col: str):
