@@ -1,23 +1,29 @@
 """Homomorphic multiset fingerprints of documents.
 
-A fingerprint is a vector of 128 sums modulo 2^32 and a count. Each paragraph is hashed to a
+A fingerprint is a vector of 512 sums modulo 2^32 and a count. Each paragraph is hashed to a
 vector, and a document's is the sum over its paragraphs, so order has no effect, and
 inserting or deleting a paragraph adds or subtracts its vector. Sixteen sums take part in
 every paragraph and tell multisets apart. Of the others, sixteen each count half, a quarter,
-an eighth of all paragraphs, and so on: from how many of them agree, the number of
-paragraphs in which two documents differ can be told.
+an eighth of all paragraphs, and so on down to one in 2^31, more than a text can hold: from
+how many of them agree, the number of different paragraphs in which two documents differ can
+be told, whatever it is.
 
 Paragraphs are the non-empty lines of a text. All expressions are built in.
 """
 
 from __future__ import annotations
 
+import math
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUPS = 8
+GROUPS = 32
 PER_GROUP = 16
 LANES = GROUPS * PER_GROUP
+# Groups summed over every paragraph; the others only over paragraphs that count in one.
+_DENSE = 8
 _MASK = (1 << 32) - 1
 
 
@@ -25,32 +31,63 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda p: p != "")
 
 
-def _lane_list() -> Column:
+def _lane_list(first: int, end: int) -> Column:
+    """For each lane of some groups: its draw, and the low bits that let a paragraph count.
+
+    A draw's trailing zeros choose one of the groups that share it, so that group g counts
+    one paragraph in 2^g. The first group has draws of its own and counts all.
+    """
     return F.array(
         *[
-            F.struct(F.lit(i).alias("i"), F.lit((1 << (i // PER_GROUP)) - 1).cast("long").alias("m"))
-            for i in range(LANES)
+            F.struct(
+                F.lit(k + PER_GROUP * (g > 0)).alias("draw"),
+                F.lit((1 << g) - 1).cast("long").alias("bits"),
+                F.lit((1 << g) >> 1 if g else 0).cast("long").alias("are"),
+            )
+            for g in range(first, end)
+            for k in range(PER_GROUP)
         ]
     )
 
 
-def vector(paras: Column) -> Column:
-    """Sums of an array of paragraphs: 128 lanes, then their number. No paragraphs: zeros."""
-    zero = F.array_repeat(F.lit(0).cast("long"), LANES)
+def _sums(draws: Column, first: int, end: int) -> Column:
+    """Sums of the lanes of some groups over an array of paragraphs' draws."""
+    zero = F.array_repeat(F.lit(0).cast("long"), (end - first) * PER_GROUP)
 
-    def add(sums: Column, h: Column) -> Column:
+    def add(sums: Column, own: Column) -> Column:
         def one(s: Column, lane: Column) -> Column:
-            x = F.xxhash64(h["a"], h["b"], lane["i"])
-            part = F.when(x.bitwiseAND(lane["m"]) == 0, F.shiftrightunsigned(x, 32))
+            x = F.get(own, lane["draw"])
+            part = F.when(x.bitwiseAND(lane["bits"]) == lane["are"], F.shiftrightunsigned(x, 32))
             return (s + part.otherwise(F.lit(0).cast("long"))).bitwiseAND(F.lit(_MASK))
 
-        return F.zip_with(sums, _lane_list(), one)
+        return F.zip_with(sums, _lane_list(first, end), one)
 
+    return F.aggregate(draws, zero, add)
+
+
+def vector(paras: Column) -> Column:
+    """Sums of an array of paragraphs: 512 lanes, then their number. No paragraphs: zeros."""
     hashes = F.transform(
         paras, lambda p: F.struct(F.xxhash64(p).alias("a"), F.xxhash64(p, F.lit(1)).alias("b"))
     )
+    drawn = F.transform(
+        hashes, lambda h: F.array(*[F.xxhash64(h["a"], h["b"], F.lit(i)) for i in range(2 * PER_GROUP)])
+    )
+    sparse = F.lit((1 << (_DENSE - 1)) - 1).cast("long")
+
+    def lanes(draws: Column) -> Column:
+        few = F.filter(
+            draws,
+            lambda own: F.exists(
+                F.slice(own, PER_GROUP + 1, PER_GROUP), lambda x: x.bitwiseAND(sparse) == 0
+            ),
+        )
+        return F.concat(_sums(draws, 0, _DENSE), _sums(few, _DENSE, GROUPS))
+
+    # an array of one, so that the draws are made once
     return F.concat(
-        F.aggregate(hashes, zero, add), F.array(F.size(paras).cast("long").bitwiseAND(F.lit(_MASK)))
+        F.get(F.transform(F.array(drawn), lanes), F.lit(0)),
+        F.array(F.size(paras).cast("long").bitwiseAND(F.lit(_MASK))),
     )
 
 
@@ -70,20 +107,21 @@ def as_text(sums: Column) -> Column:
     return F.array_join(F.transform(sums, lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), "")
 
 
-def _differences() -> list[float]:
+@cache
+def _differences() -> tuple[float, ...]:
     """Paragraphs that differ, by the number of lanes that agree: the mean's inverse."""
 
     def agreeing(q: float) -> float:
-        return sum(PER_GROUP * (1 - 2.0**-g) ** q for g in range(1, GROUPS))
+        return sum(PER_GROUP * math.exp(q * math.log1p(-(2.0**-g))) for g in range(1, GROUPS))
 
     found = []
     for equal in range(LANES + 1):
-        low, high = 0.0, 1e6
+        low, high = 0.0, 2.0 ** (GROUPS + 3)
         for _ in range(80):
             middle = (low + high) / 2
             low, high = (middle, high) if agreeing(middle) > equal else (low, middle)
         found.append(low)
-    return found
+    return tuple(found)
 
 
 def likeness(a: Column, b: Column) -> Column:

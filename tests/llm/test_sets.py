@@ -157,6 +157,27 @@ def test_fingerprints_are_homomorphic(spark):
     assert 0.5 < row.near < 0.95
 
 
+@pytest.mark.parametrize("lines, texts", [(40, 12), (1_000, 12), (10_000, 3)])
+def test_likeness_keeps_its_scale(spark, lines, texts):
+    source = random.Random(lines)
+    data, exact = [], []
+    for k in range(texts):
+        text = [f"{k} {i} {source.random()}" for i in range(lines)]
+        # the share that stays differs from text to text; the rest is replaced by a few lines
+        stays = lines * (1 + k % 3) // 4
+        other = text[:stays] + [f"other {k} {i}" for i in range(10)]
+        a, b = Counter(text), Counter(other)
+        exact.append(1 - ((a - b) + (b - a)).total() / (a + b).total())
+        data.append((k, text, other))
+    rows = spark.createDataFrame(data, "k int, a array<string>, b array<string>").repartition(4)
+    near = fingerprints.likeness(fingerprints.vector(F.col("a")), fingerprints.vector(F.col("b")))
+    found = [r.near for r in rows.select("k", near.alias("near")).orderBy("k").collect()]
+    # the number of differences has a relative error of about 0.17
+    assert all(abs(f - e) < 0.6 * (1 - e) for f, e in zip(found, exact))
+    assert abs(sum(found) - sum(exact)) < 0.6 * texts**0.5 * (1 - min(exact))
+    assert fingerprints._differences()[0] > 2**31
+
+
 def measures(text):
     text = text or ""
     words = WORD.findall(text)
