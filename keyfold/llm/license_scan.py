@@ -9,7 +9,6 @@ compared with the template shingle by shingle. All expressions are built in.
 from __future__ import annotations
 
 import math
-import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,16 +78,31 @@ def _shingle_hashes(col: str) -> Column:
     ).otherwise(F.array().cast("array<long>"))
 
 
-def _masks(bands: int) -> list[int]:
-    source = random.Random(20_240)
-    return [source.getrandbits(63) for _ in range(bands)]
+def least_similarity(sizes: Sequence[int], containment: float) -> float:
+    """The least Jaccard similarity by which a window meets a held template's window.
 
+    ``sizes`` are the templates' numbers of shingles. A template may start at any place
+    between two windows, and the shingles that containment allows to be missing may all be
+    in the window that holds most of it; those of a longer one are spread over its windows.
+    """
+
+    def least(size: int) -> float:
+        held = min(
+            max(min(size, _SHINGLES - late), min(_SHINGLES, size - _STEP + late)) for late in range(_STEP)
+        )
+        missing = size - math.ceil(containment * size - 1e-9)
+        apart = max(1, (size - _STEP + 1) // WINDOW)
+        shared = max(1, held - missing // apart)
+        return shared / (_SHINGLES + min(size, _SHINGLES) - shared)
+
+    return min(map(least, sizes))
 
-def _band_keys(window: Column, masks: Sequence[int]) -> Column:
-    """For each band, the smallest of a window's hashes under the band's permutation."""
+
+def _band_keys(window: Column, bands: int) -> Column:
+    """For each band, the smallest of a window's shingles by a hash of the band's own."""
     return F.transform(
-        F.array(*[F.lit(m) for m in masks]),
-        lambda mask: F.array_min(F.transform(window, lambda h: h.bitwiseXOR(mask))),
+        F.sequence(F.lit(0), F.lit(bands - 1)),
+        lambda band: F.array_min(F.transform(window, lambda h: F.xxhash64(h, band))),
     )
 
 
@@ -105,7 +119,7 @@ def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]]) ->
     return rows.filter(F.size("_hashes") > 0)
 
 
-def _template_keys(table: DataFrame, masks: Sequence[int]) -> list[tuple[int, int]]:
+def _template_keys(table: DataFrame, bands: int) -> list[tuple[int, int]]:
     """``template, key`` of every band of every window of every template, a bounded table."""
     last = F.greatest(F.lit(0), F.size("_hashes") - _SHINGLES)
     windows = table.select(
@@ -115,7 +129,7 @@ def _template_keys(table: DataFrame, masks: Sequence[int]) -> list[tuple[int, in
     ).select("template", F.slice("_hashes", F.col("_at") + 1, _SHINGLES).alias("_window"))
     found = windows.select(
         "template",
-        F.explode(_band_keys(F.col("_window"), masks)).alias("key"),
+        F.explode(_band_keys(F.col("_window"), bands)).alias("key"),
     ).distinct()
     return [tuple(row) for row in found.collect()]
 
@@ -132,9 +146,10 @@ def scan(
 
     ``containment`` is the largest share of a template's shingles found in a stretch of
     text of the template's length around a retrieved window, at least the parameter;
-    ``n_windows`` counts the windows that show it. Bands have one row each, and as many
-    bands are used as find the shortest template's shingles in a window with the given
-    probability; a verbatim longer template is found by each window inside it.
+    ``n_windows`` counts the windows that show it. Bands have one row each, hash every
+    shingle anew, and are as many as find the template that a window meets worst with the
+    given probability; a verbatim longer template is found by each window inside it. A band
+    can only agree on a template's shingle, so windows that hold none are not banded.
 
     The templates are a bounded table and are the only thing broadcast. Windows are
     filtered in the pass that makes them, so only matches are shuffled, summed per document
@@ -147,8 +162,9 @@ def scan(
     empty = "doc_id long, license string, containment double, n_windows long"
     if not sizes:
         return spark.createDataFrame([], empty)
-    masks = _masks(bands_needed(min(1.0 - 1e-9, min(sizes) / _SHINGLES), 1, probability))
-    keys = _template_keys(table, masks)
+    similarity = least_similarity(sizes, containment)
+    bands = bands_needed(min(1.0 - 1e-9, similarity), 1, probability)
+    keys = _template_keys(table, bands)
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), words(F.col(text_col)).alias("_text")
@@ -156,16 +172,20 @@ def scan(
     rows = rows.withColumn("_all", _shingle_hashes("_text"))
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("_all") - 1), F.lit(_STEP))
     known_keys = sorted({key for _, key in keys})
+    known_hashes = sorted({h for row in table.select("_hashes").collect() for h in row[0]})
 
-    def retrieved(window: Column, number: Column) -> Column:
-        return F.struct(
-            (number * _STEP).alias("start"),
-            F.filter(_band_keys(window, masks), lambda k: k.isin(known_keys)).alias("keys"),
-        )
+    def window(start: Column) -> Column:
+        return F.struct(start.alias("start"), F.slice(F.col("_all"), start + 1, _SHINGLES).alias("hashes"))
+
+    def retrieved(w: Column) -> Column:
+        keys_of = F.filter(_band_keys(w["hashes"], bands), lambda k: k.isin(known_keys))
+        return F.struct(w["start"].alias("start"), keys_of.alias("keys"))
 
     # only retrieved windows leave the text's row, with the words that may hold a template
-    windows = F.transform(starts, lambda i: F.slice(F.col("_all"), i + 1, _SHINGLES))
-    found = F.filter(F.transform(windows, retrieved), lambda w: F.size(w["keys"]) > 0)
+    near = F.filter(
+        F.transform(starts, window), lambda w: F.exists(w["hashes"], lambda h: h.isin(known_hashes))
+    )
+    found = F.filter(F.transform(near, retrieved), lambda w: F.size(w["keys"]) > 0)
     rows = rows.select("doc_id", "_text", found.alias("_found"))
     most = max(table.select(F.size("_words")).collect())[0]
     near = F.transform(

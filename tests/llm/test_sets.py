@@ -253,3 +253,19 @@ def test_license_scan(spark, odd, none):
 def test_bands_find_what_they_promise():
     assert 1 - (1 - 0.375) ** license_scan.bands_needed(0.375, 1, 0.9999) >= 0.9999
     assert license_scan.bands_needed(0.5, 4, 0.99) == 72
+
+
+def test_short_notices_are_found(spark):
+    source = random.Random(8)
+    rows = []
+    for k in range(4_000):
+        before, after = sentence(source, source.randint(0, 25)), sentence(source, source.randint(0, 25))
+        rows.append((k, f"{before} {license_scan.TEMPLATES[0][1]} {after}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert license_scan.scan(docs).filter("license = 'MIT'").count() == len(rows)
+
+
+def test_least_similarity():
+    assert license_scan.least_similarity([3, 100], 1.0) == 3 / 8
+    # four of five shingles in a window, and one of them missing
+    assert license_scan.least_similarity([5], 0.8) == 3 / 10
