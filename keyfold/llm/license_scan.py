@@ -61,10 +61,13 @@ def bands_needed(similarity: float, rows: int, probability: float) -> int:
     return math.ceil(math.log(1 - probability) / math.log(1 - similarity**rows))
 
 
+_MARKS = "()\"'.,;:!?*#/"
+
+
 def words(text: Column) -> Column:
-    """Lower-case words without punctuation at their ends."""
+    """Lower-case words; spaces and these punctuation marks separate them, also unspaced."""
     plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\t\n\x0b\x0c\r", "     ")
-    plain = F.translate(plain, "()\"'.,;:!?*#/", " ")
+    plain = F.translate(plain, _MARKS, " " * len(_MARKS))
     return F.array_remove(F.split(plain, " "), "")
 
 

@@ -269,3 +269,15 @@ def test_least_similarity():
     assert license_scan.least_similarity([3, 100], 1.0) == 3 / 8
     # four of five shingles in a window, and one of them missing
     assert license_scan.least_similarity([5], 0.8) == 3 / 10
+
+
+def test_notices_next_to_unspaced_punctuation_are_found(spark):
+    source = random.Random(9)
+    rows = []
+    for k, mark in enumerate(license_scan._MARKS):
+        before, after = sentence(source, 12), sentence(source, 12)
+        rows.append((k, f"{before}{mark}Released under the MIT License{mark}{after}", "MIT"))
+        rows.append((100 + k, f"{before}{mark}Licensed under the Apache License,Version 2.0{mark}{after}", "Apache-2.0"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    found = {(r.doc_id, r.license) for r in license_scan.scan(docs).collect()}
+    assert found == {(k, name) for k, _, name in rows}
