@@ -14,6 +14,8 @@ from keyfold.llm import (
     packing,
     pii,
     quality,
+    sharding,
+    spelling,
     token_counts,
     token_files,
 )
@@ -77,6 +79,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, folder)
 
 
+def op11_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(documents(spark, sf_dir), shards=24)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +100,8 @@ QUERIES = {
         op8_byte_bpe,
         op9_harmonic_packing,
         op10_token_files,
+        op11_rendezvous_shards,
+        op12_spelling_variants,
     )
 }
 
