@@ -9,6 +9,7 @@ from keyfold.llm import (
     byte_bpe,
     fingerprints,
     language,
+    lexical,
     license_scan,
     ngram_join,
     packing,
@@ -87,6 +88,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.report(documents(spark, sf_dir))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.rank(documents(spark, sf_dir), items, k=10)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,6 +108,7 @@ QUERIES = {
         op10_token_files,
         op11_rendezvous_shards,
         op12_spelling_variants,
+        op13_ranked_search,
     )
 }
 
@@ -172,4 +179,32 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLES = {"op2_ngram_join": _OP2, "op7_host_quality": _OP7}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+_OP13 = rf"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{_TERM}') ts FROM documents),
+d AS (SELECT row_number() OVER () r, doc_id, ts, len(ts)::BIGINT n FROM low WHERE len(ts) > 0),
+corpus AS (SELECT count(*)::BIGINT nd, sum(n)::BIGINT l FROM d),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) t FROM benchmark WHERE item_id IS NOT NULL),
+tf AS (
+  SELECT r, t, count(*)::BIGINT tf FROM (SELECT r, unnest(ts) t FROM d)
+  WHERE t IN (SELECT t FROM wanted) GROUP BY 1, 2),
+w AS (
+  SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)))::BIGINT w
+  FROM (SELECT t, count(*)::BIGINT df FROM tf GROUP BY 1), corpus),
+s AS (
+  SELECT item_id, r, sum(w.w * ((1000000000 * tf.tf) //
+    (1000 * tf.tf + 8 * (10 + (90 * d.n * nd) // l))))::BIGINT score
+  FROM wanted JOIN tf USING (t) JOIN w USING (t) JOIN d USING (r), corpus GROUP BY 1, 2),
+k AS (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) k
+  FROM s JOIN d USING (r) WHERE score > 0)
+SELECT item_id, k::INT AS rank, doc_id, score FROM k WHERE k <= 10
+"""
+
+ORACLES = {"op2_ngram_join": _OP2, "op7_host_quality": _OP7, "op13_ranked_search": _OP13}
