@@ -8,13 +8,16 @@ import re
 import sys
 import types
 from collections.abc import Sequence
-from itertools import chain, compress
+from itertools import compress
 from operator import not_
 
 import numpy as np
 
-# Entries of the word tables in one worker; a full table is emptied.
-WORDS_KEPT = 1_000_000
+# Bytes of words that a worker keeps with their ids, about: those of late, and as many of
+# the time before, from which words in use come back.
+TABLE_BYTES = 64 << 20
+# What an entry takes beside its letters and ids.
+_ENTRY_BYTES = 190
 # Longer words are encoded, but not kept.
 KEPT_CHARS = 48
 # Longer texts are cut at safe places before the byte-level encoder sees them.
@@ -34,8 +37,9 @@ class WordTokens:
 
     The tokenizer drops white space and never merges across it, so a text's ids are the
     ids of its words one after the other. Words are encoded once and remembered; a word of
-    letters with punctuation behind it is the word and the punctuation. Strings of special
-    tokens in a text are ordinary text.
+    letters with punctuation behind it is the word and the punctuation, if it is still of
+    letters once normalised. Strings of special tokens in a text are these tokens, as when
+    the library encodes it.
     """
 
     def __init__(self, path: str):
@@ -43,13 +47,16 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        normal = self._tokenizer.normalizer
+        self._normal = normal.normalize_str if normal else str
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.wide = len(self._ends) > 1 << 16
         self._surface: dict[str, bytes] = {"": b""}
+        self._before: dict[str, bytes] = {}
         self._core: dict[str, bytes] = {"": b""}
+        self._surface_bytes = self._core_bytes = 0
 
     @staticmethod
     def shared(path: str) -> WordTokens:
@@ -79,16 +86,14 @@ class WordTokens:
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Encode words not known yet; returns those too long to keep."""
-        if len(self._surface) + len(words) > WORDS_KEPT:
-            self._surface = {"": b""}
-        if len(self._core) + len(words) > WORDS_KEPT:
-            self._core = {"": b""}
+        if self._core_bytes > TABLE_BYTES // 2:
+            self._core, self._core_bytes = {"": b""}, 0
         known, surface = self._core, self._surface
         letters, others = set(), set()
         parts: list[tuple[str, str, str]] = []
         for word in words:
             core = word.rstrip(_TAIL)
-            if core.isalpha():
+            if core.isascii() and core.isalpha() or self._stays_letters(core):
                 tail, core = word[len(core) :], core.lower() if core.isascii() else core
                 if core not in known:
                     letters.add(core)
@@ -107,17 +112,27 @@ class WordTokens:
             ids = known[core] + known[tail] if tail else known[core]
             if len(word) <= KEPT_CHARS:
                 surface[word] = ids
+                self._surface_bytes += _ENTRY_BYTES + len(word) + len(ids)
             else:
                 long[word] = ids
         for core in letters | others:
             if len(core) > KEPT_CHARS:
                 del known[core]
+            else:
+                self._core_bytes += _ENTRY_BYTES + len(core)
         return long
 
+    def _stays_letters(self, core: str) -> bool:
+        """Whether a word's normal form, too, is of letters only; some gain a mark, which
+        the tokenizer joins to punctuation behind it."""
+        return core.isalpha() and self._normal(core).isalpha()
+
     def ids(self, texts: Sequence[str | None], block: int = 256) -> list[bytes]:
         """The ids of each text; none for null and empty texts."""
         found: list[bytes] = []
         for at in range(0, len(texts), block):
+            if self._surface_bytes > TABLE_BYTES:
+                self._before, self._surface, self._surface_bytes = self._surface, {"": b""}, 0
             split = [_words(text) for text in texts[at : at + block]]
             missing: set[str] = set()
             for words in split:
@@ -126,10 +141,11 @@ class WordTokens:
             missing.discard("")
             table = self._surface
             if missing:
-                if len(table) + len(missing) > WORDS_KEPT:
-                    missing = set(chain.from_iterable(split))
-                long = self._learn(missing)
-                table = {**self._surface, **long} if long else self._surface
+                back = {w: self._before[w] for w in missing if w in self._before}
+                table.update(back)
+                self._surface_bytes += sum(map(len, back)) + _ENTRY_BYTES * len(back)
+                long = self._learn(missing.difference(back))
+                table = {**table, **long} if long else table
             found += [b"".join(map(table.__getitem__, words)) for words in split]
         return found
 
@@ -146,12 +162,17 @@ def _words(text: str | None) -> list[str]:
 class ByteTokens:
     """Byte-level ids of a rank file, by the tiktoken library, without special tokens.
 
-    Long texts are cut before a space or line break that follows an ASCII letter or digit.
-    Every match of the splitting pattern ends there, whatever comes before or after, so
-    the ids are those of the whole text. Texts without such places are encoded uncut.
+    Long texts are cut before white space that follows anything else. Every match of the
+    splitting pattern ends there, whatever comes before or after, so the ids are those of
+    the whole text. A long run of white space, less the last character if more text
+    follows, is one match by itself and is encoded as such: the pattern would go back over
+    it character by character. Texts without such places are encoded uncut.
     """
 
-    _SAFE = re.compile(r"[A-Za-z0-9](?=[ \n])")
+    # White space as the pattern sees it.
+    _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    _SAFE = re.compile(rf"[^{_WHITE}](?=[{_WHITE}])")
+    _RUN = re.compile(rf"[{_WHITE}]{{1000,}}")
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
@@ -161,6 +182,9 @@ class ByteTokens:
         self._encoding = tiktoken.Encoding(
             "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
+        self._whole = tiktoken.Encoding(
+            "whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}
+        )
         self._bytes = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self._bytes[rank] = token
@@ -188,6 +212,15 @@ class ByteTokens:
             return []
         if len(text) <= PIECE_CHARS:
             return self._encoding.encode_ordinary(text)
+        found, start = [], 0
+        for run in self._RUN.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            found += self._cut(text[start : run.start()])
+            found += self._whole.encode_ordinary(text[run.start() : end])
+            start = end
+        return found + self._cut(text[start:])
+
+    def _cut(self, text: str) -> list[int]:
         return [i for piece in self.pieces(text) for i in self._encoding.encode_ordinary(piece)]
 
     def decode(self, ids: Sequence[int]) -> bytes:

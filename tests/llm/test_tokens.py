@@ -28,7 +28,6 @@ PATTERN = public_tokenizers.PATTERN
 @pytest.fixture(scope="module")
 def tokenizer():
     found = Tokenizer.from_file(WORDS)
-    found.encode_special_tokens = True
     return found
 
 
@@ -45,19 +44,18 @@ def word_ids(tokenizer, text, end):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(st.sampled_from("aAbé ß'.,!?12\n\t\x1c\x85\xa0日İΣ́<|>"), max_size=60))
+@given(st.text(st.sampled_from("aAbé ß'.,!?12\n\t\x1c\x85\xa0日İΣ́<|>क़ড়שׁ"), max_size=60))
 def test_words_match_the_library(text):
     tokenizer = Tokenizer.from_file(WORDS) if not hasattr(test_words_match_the_library, "t") else (
         test_words_match_the_library.t
     )
-    tokenizer.encode_special_tokens = True
     test_words_match_the_library.t = tokenizer
     ids = tokenizer.encode(text, add_special_tokens=False).ids
     assert WordTokens.shared(WORDS).ids([text]) == [np.array(ids, "<u4").tobytes()]
 
 
 def test_long_words_and_full_tables(tokenizer, monkeypatch):
-    monkeypatch.setattr("keyfold.llm.tokens.WORDS_KEPT", 5)
+    monkeypatch.setattr("keyfold.llm.tokens.TABLE_BYTES", 900)
     words = WordTokens(WORDS)
     texts = ["x" * 200 + ", " + "x" * 200, "some words, some more. Words", None, "", "a b c d e f g h"]
     expected = [word_ids(tokenizer, t, 0)[:-1].tobytes() for t in texts]
@@ -65,6 +63,23 @@ def test_long_words_and_full_tables(tokenizer, monkeypatch):
     assert words.ids(texts, block=1) == expected
 
 
+def test_letters_that_gain_marks_and_special_tokens(tokenizer):
+    letters = (chr(c) for c in range(0x80, 0x30000) if chr(c).isalpha())
+    marked = [c for c in letters if not tokenizer.normalizer.normalize_str(c).isalpha()]
+    assert len(marked) > 50
+    texts = [f"{c}{tail} ab{c}{tail}{c}" for c in marked for tail in ("", ",", "!?")]
+    texts += ["a<|endoftext|>b, <|endoftext|>. <|ENDOFTEXT|>", "<|startoftext|>"]
+    assert WordTokens(WORDS).ids(texts) == [word_ids(tokenizer, t, 0)[:-1].tobytes() for t in texts]
+
+
+def test_very_long_runs_of_white_space(encoding):
+    encoder = ByteTokens.shared(RANKS, PATTERN)
+    text = "x" + " " * 2_000_000 + "y\n" + "\u3000\n" * 700_000
+    assert encoder.decode(encoder.ids(text)) == text.encode()
+    for text in (f"a{' ' * 70_000}b", f"{' ' * 70_000}", f"я{chr(10) * 70_000}!{' ' * 70_000}"):
+        assert encoder.ids(text) == encoding.encode_ordinary(text)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(st.sampled_from("aAé 's\n\t1.?日\xa0"), max_size=80), st.integers(1, 12))
 def test_safe_cuts_do_not_change_ids(text, most):
