@@ -16,7 +16,7 @@ ROUNDS = 8
 
 _SECRET = r"(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "secret": rf"\b{_SECRET}[A-Za-z0-9+/_-]{{8,}}",
     "phone": r"\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,3}\b|\(\d{3}\) ?\d{3}-\d{4}\b|\b\d{3}-\d{3}-\d{4}\b",
     "ip": r"\b\d{1,3}(?:\.\d{1,3}){3}\b",
@@ -58,18 +58,23 @@ def _permuted_number(x: Column, key: str, kind: str, a: int, b: int) -> Column:
 
 
 def _shifted(chars: Column, stream: Column) -> Column:
-    """Shift digits among digits and letters among letters of their case."""
+    """Shift digits among digits and letters among letters of their case.
 
-    def one(i: Column) -> Column:
-        code = F.ascii(F.substring(chars, i, F.lit(1)))
+    The stream is bound by way of a one-element array, so that it is made once, and the
+    characters are an array, so that the cost is in proportion to their number.
+    """
+
+    def one(char: Column, i: Column, by: Column) -> Column:
+        code = F.ascii(char)
         # 64 bytes of stream; longer halves use them again
-        by = F.conv(F.substring(stream, F.pmod(i - 1, F.lit(64)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        step = F.conv(F.substring(by, F.pmod(i, F.lit(64)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
         first = F.when(code < 58, 48).when(code < 91, 65).otherwise(97)
         size = F.when(code < 58, 10).otherwise(26)
-        return F.char((first + (code - first + by) % size).cast("long"))
+        return F.char((first + (code - first + step) % size).cast("long"))
 
-    places = F.sequence(F.lit(1), F.length(chars))
-    return F.when(F.length(chars) > 0, F.array_join(F.transform(places, one), "")).otherwise("")
+    each = lambda by: F.array_join(F.transform(F.split(chars, ""), lambda c, i: one(c, i, by)), "")
+    made = F.element_at(F.transform(F.array(stream), each), 1)
+    return F.when(F.length(chars) > 0, made).otherwise("")
 
 
 def _permuted_chars(core: Column, key: str, kind: str) -> Column:
@@ -96,13 +101,15 @@ def _core(value: Column) -> Column:
 
 def _refilled(value: Column, core: Column) -> Column:
     """The value with its letters and digits replaced, in order, by those of ``core``."""
-
-    def one(i: Column) -> Column:
-        char = F.substring(value, i, F.lit(1))
-        place = F.length(_core(F.substring(value, F.lit(1), i)))
-        return F.when(char.rlike("[A-Za-z0-9]"), F.substring(core, place, F.lit(1))).otherwise(char)
-
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), one), "")
+    between = F.split(value, "[A-Za-z0-9]", -1)
+    return F.array_join(
+        F.zip_with(
+            between,
+            F.split(core, ""),
+            lambda b, c: F.concat(F.coalesce(b, F.lit("")), F.coalesce(c, F.lit(""))),
+        ),
+        "",
+    )
 
 
 def _luhn(digits: Column, odd: int) -> Column:

@@ -210,3 +210,19 @@ def test_pipeline(spark, odd, none, tmp_path):
 
 def test_sentences_have_words():
     assert len(sentence(random.Random(1), 5).split()) == 5
+
+
+def test_very_long_values_cost_in_proportion(spark):
+    source = random.Random(3)
+    secret = "".join(source.choice("abcXYZ019_/-+") for _ in range(100_000))
+    values = [
+        f"api_key = {secret}",
+        "a@b" + ".c" * 50_000,
+        "ab.c-" * 20_000 + "x@example.org",
+        "h" * 100_000 + "@example.org",
+    ]
+    docs = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "doc_id long, text string")
+    found = dict(pii.report(docs, "k").select("doc_id", "text").collect())
+    for k, value in enumerate(values):
+        shape = lambda t: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", t)))
+        assert found[k] != value and shape(found[k]) == shape(value)
