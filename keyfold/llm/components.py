@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.llm.store import staged
+from keyfold.llm.store import new_folder, removed, staged
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -23,9 +23,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     edges = edges.filter("u is not null and v is not null and u <> v")
+    spark = links.sparkSession
+    folder = new_folder(spark, "components")
     edges = staged(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-        "components",
+        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "", folder
     )
     before = None
     for _ in range(max_rounds):
@@ -38,9 +39,12 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         near = least(large)
         joined = large.join(near, "u")
         small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        following = new_folder(spark, "components")
         edges = staged(
-            small.unionByName(near.select("u", F.col("m").alias("v"))).distinct(), "components"
+            small.unionByName(near.select("u", F.col("m").alias("v"))).distinct(), "", following
         )
+        removed(spark, folder)
+        folder = following
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == before or not now[0]:
             break

@@ -24,11 +24,11 @@ UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 # Word types whose scores a worker keeps; a full table is emptied.
-_TYPES_KEPT = 400_000
+_TYPES_KEPT = 250_000
 # How many times the wanted texts are ranked to choose them; covers the estimate's error.
 _SPARE = 4
 # Characters of text labelled at a time.
-_CHUNK_CHARS = 3_000_000
+_CHUNK_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,8 @@ What makes this bearable on a large corpus:
   Only classes of a bucket that are still apart are then compared with each other.
 
 The result is exact: which documents are connected by links, whatever the hash. N-grams are
-64-bit hashes and sets 128-bit hashes; two that differ are taken for different.
+64-bit hashes and sets 128-bit hashes; two that differ are taken for different. While lists
+are made, a class goes by a 64-bit hash of its set's hash together with its size.
 """
 
 from __future__ import annotations
@@ -33,10 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm.components import components
-from keyfold.llm.store import new_folder, removed, small_side, staged
+from keyfold.llm.store import new_folder, removed, small_side, staged, unused
 
-# Word hashes kept by a worker; a full table is emptied.
-_WORDS_KEPT = 500_000
+# Bytes of word hashes kept by a task, about; a full table is emptied.
+_TABLE_BYTES = 48 << 20
+# What a word takes in the table beside its letters.
+_WORD_BYTES = 170
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIXER = np.uint64(0xD6E8FEB86659FD93)
 
@@ -55,8 +58,10 @@ class Likeness:
         return size - -(-self.part * size // self.over)
 
     def shared(self, size: int) -> int:
-        """The k of the first filter."""
-        return max(1, self.misses(size) // 3)
+        """The k of the first filter: as many as a linked set may lack, so that half of what
+        is read must be shared."""
+        misses = self.misses(size)
+        return max(1, min(misses, size - misses))
 
     def misses_of(self, size: Column) -> Column:
         return size - F.ceil(size * self.part / F.lit(float(self.over))).cast("long")
@@ -64,7 +69,8 @@ class Likeness:
     def least_shared_of(self, size: Column) -> Column:
         """The smallest k that any linked set has, the smallest linked sets having the least."""
         least = F.ceil(size * self.part / F.lit(float(self.over))).cast("long")
-        return F.greatest(F.lit(1), F.floor(self.misses_of(least) / 3)).cast("long")
+        misses = self.misses_of(least)
+        return F.greatest(F.lit(1), F.least(misses, least - misses)).cast("long")
 
 
 def ngrams(text: bytes, n: int, table: dict[bytes, int]) -> np.ndarray:
@@ -95,12 +101,17 @@ def _sets(rows: DataFrame, rule: Likeness, whole: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[bytes, int] = {}
+        held = 0
         for batch in batches:
-            if len(table) > _WORDS_KEPT:
-                table = {}
             sizes, keys, parts = [], [], []
             for text in batch.column(2):
-                grams = ngrams((text.as_py() or "").encode(), rule.n, table)
+                known = len(table)
+                data = (text.as_py() or "").encode()
+                grams = ngrams(data, rule.n, table)
+                held += (len(table) - known) * _WORD_BYTES
+                # a text of few long words may fill the table as well
+                if held > _TABLE_BYTES or len(data) > _TABLE_BYTES:
+                    table, held = {}, 0
                 sizes.append(len(grams))
                 keys.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
                 if not whole:
@@ -216,15 +227,19 @@ def class_links(sets: DataFrame, rule: Likeness) -> DataFrame:
     Every pair of linked classes that these links leave apart was compared; pairs already
     connected need not be.
     """
-    lists = staged(_ordered(sets, rule), "ngram-lists")
-    parts = staged(_fragments(lists, rule.fragments), "ngram-fragments")
+    spark = sets.sparkSession
+    folders = {name: new_folder(spark, f"ngram-{name}") for name in ("lists", "parts", "buckets", "apart")}
+    lists = staged(_ordered(sets, rule), "", folders["lists"])
+    parts = staged(_fragments(lists, rule.fragments), "", folders["parts"])
     own = F.col("n") - F.size("grams")
     front = F.slice("grams", F.lit(1), (rule.misses_of(F.col("n")) - own + 1).cast("int"))
     buckets = lists.select("c", "n", own.alias("own"), F.posexplode(front).alias("k", "g"))
     buckets = staged(
         buckets.select("c", "n", (F.col("own") + F.col("k")).alias("pos"), F.col("g.gram").alias("gram")),
-        "ngram-buckets",
+        "",
+        folders["buckets"],
     )
+    removed(spark, folders["lists"])
 
     # each class with the bucket's class in which the n-gram comes first
     hubs = buckets.groupBy("gram").agg(F.min(F.struct("pos", "c", "n")).alias("hub"))
@@ -240,7 +255,8 @@ def class_links(sets: DataFrame, rule: Likeness) -> DataFrame:
         "gram", "c", "n", "pos", F.coalesce("component", "c").alias("group")
     )
     mixed = marked.groupBy("gram").agg(F.min("group").alias("lo"), F.max("group").alias("hi"))
-    marked = staged(marked.join(mixed.filter("lo <> hi").select("gram"), "gram"), "ngram-apart")
+    marked = staged(marked.join(mixed.filter("lo <> hi").select("gram"), "gram"), "", folders["apart"])
+    removed(spark, folders["buckets"])
     apart = marked.alias("x").join(
         marked.alias("y"),
         (F.col("x.gram") == F.col("y.gram"))
@@ -248,7 +264,10 @@ def class_links(sets: DataFrame, rule: Likeness) -> DataFrame:
         & _possible("x", "y", rule),
     )
     rest = _as_pairs(apart).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    return links.unionByName(_verified(rest, parts, rule))
+    every = staged(links.unionByName(_verified(rest, parts, rule)), "ngram-all-links")
+    for name in ("apart", "parts"):
+        removed(spark, folders[name])
+    return every
 
 
 def classes_of(docs: DataFrame, rule: Likeness, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -262,25 +281,32 @@ def classes_of(docs: DataFrame, rule: Likeness, id_col: str, text_col: str) -> t
     first = new_folder(spark, "ngram-parts")
     parts = staged(_sets(rows, rule, whole=False), "ngram-parts", first)
     suspects = _suspects(parts, rule)
-    # one document of each suspect class, to read its whole set
+    # one document of each suspect class, to read its whole set; ``same`` rows repeat it
     chosen = (
         parts.filter("n_shingles > 0")
+        .groupBy("set_key", "doc_id", "mark")
+        .agg(F.count("*").alias("same"))
         .groupBy("set_key")
-        .agg(F.min(F.struct("doc_id", "mark")).alias("r"))
+        .agg(F.min(F.struct("doc_id", "mark", "same")).alias("r"))
         .join(suspects, "set_key")
-        .select(F.col("r.doc_id").alias("_id"), F.col("r.mark").alias("_mark"))
+        .select(F.col("r.doc_id").alias("_id"), F.col("r.mark").alias("_mark"), F.col("r.same").alias("_same"))
         .distinct()
     )
-    chosen = small_side(staged(chosen, "ngram-suspects"), row_bytes=32)
+    chosen = small_side(staged(chosen, "ngram-suspects"), row_bytes=40)
     found = staged(parts.drop("grams"), "ngram-documents")
     removed(spark, first)
     again = rows.join(
-        chosen, rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["mark"] == chosen["_mark"]), "left_semi"
+        chosen, rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["mark"] == chosen["_mark"])
     )
-    sets = _sets(again, rule, whole=True).dropDuplicates(["set_key"])
-    sets = staged(sets.select("set_key", "n_shingles", "grams"), "ngram-sets")
-    groups = components(class_links(sets, rule))
-    return found, groups
+    columns = ["doc_id", "mark", "text"]
+    # only rows that repeat an id and a text make a set twice; no others are moved
+    once = again.filter("_same = 1").select(*columns)
+    once = once.unionByName(again.filter("_same > 1").select(*columns).dropDuplicates(["doc_id", "mark"]))
+    whole = new_folder(spark, "ngram-sets")
+    sets = staged(_sets(once, rule, whole=True).select("set_key", "n_shingles", "grams"), "", whole)
+    links = class_links(sets, rule)
+    removed(spark, whole)
+    return found, components(links)
 
 
 def document_components(
@@ -331,7 +357,10 @@ def keep_one(
     columns = list(docs.columns)
     key = F.col(id_col).cast("long")
     mark = F.xxhash64(F.col(text_col).cast("string"))
-    joined = docs.join(kept, key.eqNullSafe(kept["_id"]) & (mark == kept["_mark"]))
-    once = joined.filter("_same = 1").select(*columns)
-    repeated = joined.filter("_same > 1").dropDuplicates(["_id", "_mark"]).select(*columns)
+    names = dict(zip(("_id", "_mark", "_same"), unused(columns, 3)))
+    kept = kept.withColumnsRenamed(names)
+    at, of, same = names.values()
+    joined = docs.join(kept, key.eqNullSafe(F.col(at)) & (mark == F.col(of)))
+    once = joined.filter(F.col(same) == 1).select(*columns)
+    repeated = joined.filter(F.col(same) > 1).dropDuplicates([at, of]).select(*columns)
     return once.unionByName(repeated)

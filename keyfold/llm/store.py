@@ -29,6 +29,13 @@ def staged(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], count: int) -> list[str]:
+    """Column names that do not clash with those given, whatever their case."""
+    taken = {c.lower() for c in columns}
+    free = (f"_x{k}" for k in range(len(taken) + count))
+    return [name for name in free if name not in taken][:count]
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder made by ``new_folder`` that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
