@@ -58,10 +58,9 @@ class Likeness:
         return size - -(-self.part * size // self.over)
 
     def shared(self, size: int) -> int:
-        """The k of the first filter: as many as a linked set may lack, so that half of what
-        is read must be shared."""
-        misses = self.misses(size)
-        return max(1, min(misses, size - misses))
+        """The k of the first filter, in proportion to what a linked set must share. A larger
+        k leaves fewer classes, but more is read before it."""
+        return max(1, (size - self.misses(size)) // 12)
 
     def misses_of(self, size: Column) -> Column:
         return size - F.ceil(size * self.part / F.lit(float(self.over))).cast("long")
@@ -69,8 +68,7 @@ class Likeness:
     def least_shared_of(self, size: Column) -> Column:
         """The smallest k that any linked set has, the smallest linked sets having the least."""
         least = F.ceil(size * self.part / F.lit(float(self.over))).cast("long")
-        misses = self.misses_of(least)
-        return F.greatest(F.lit(1), F.least(misses, least - misses)).cast("long")
+        return F.greatest(F.lit(1), F.floor((least - self.misses_of(least)) / 12)).cast("long")
 
 
 def ngrams(text: bytes, n: int, table: dict[bytes, int]) -> np.ndarray:
