@@ -15,7 +15,7 @@ import numpy as np
 
 # Bytes of words that a worker keeps with their ids, about: those of late, and as many of
 # the time before, from which words in use come back.
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 112 << 20
 # What an entry takes beside its letters and ids.
 _ENTRY_BYTES = 190
 # Longer words are encoded, but not kept.
@@ -57,6 +57,8 @@ class WordTokens:
         self._before: dict[str, bytes] = {}
         self._core: dict[str, bytes] = {"": b""}
         self._surface_bytes = self._core_bytes = 0
+        # letters whose normal form is of letters
+        self._plain: set[str] = set()
 
     @staticmethod
     def shared(path: str) -> WordTokens:
@@ -123,9 +125,13 @@ class WordTokens:
         return long
 
     def _stays_letters(self, core: str) -> bool:
-        """Whether a word's normal form, too, is of letters only; some gain a mark, which
-        the tokenizer joins to punctuation behind it."""
-        return core.isalpha() and self._normal(core).isalpha()
+        """Whether a word's normal form, too, is of letters only; some letters gain a mark,
+        which the tokenizer joins to punctuation behind it."""
+        if not core.isalpha():
+            return False
+        if not self._plain.issuperset(core):
+            self._plain.update(c for c in set(core) if self._normal(c).isalpha())
+        return self._plain.issuperset(core)
 
     def ids(self, texts: Sequence[str | None], block: int = 256) -> list[bytes]:
         """The ids of each text; none for null and empty texts."""
