@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from keyfold.operators import published, requests, state
+from keyfold.session import shared_dir
+from keyfold.streaming import LateRowGuard, correlate
 from workload import inputs
 from workload.inputs import (
     DEQUE_SLOTS, EV, MAP_WRITES, ORDER_EVENTS, RESPONSES, VALUE_WRITES,
@@ -40,6 +43,50 @@ def r2_request_excise(spark, sf_dir):
     return outcomes.select("request_id", "subsystem", "status", "error_kind")
 
 
+def _live_outcomes(spark, sf_dir, asked, subsystems):
+    """The same outcomes over two streams, run until all input is processed."""
+    folder = f"{shared_dir(spark)}/requests-{uuid.uuid4().hex}"
+    names = F.array(*[F.lit(s) for s in requests.subsystem_names(subsystems)])
+    sides = {
+        "asked": asked.select(F.col("offset").alias("request_id"), F.explode(names).alias("subsystem"), "timestamp"),
+        "answers": inputs.responses(spark, sf_dir).join(inputs.groups(spark), "group_id").drop("group_id"),
+    }
+    streams = {}
+    for name, rows in sides.items():
+        # the last row of each stream is far ahead, so that every deadline passes
+        ahead = spark.range(1).select(
+            F.lit(-1).cast("long").alias("request_id"), F.lit(name).alias("subsystem"),
+            F.lit(datetime(2200, 1, 1, tzinfo=timezone.utc)).alias("timestamp"),
+        )
+        ahead.unionByName(rows, allowMissingColumns=True).write.parquet(f"{folder}/{name}")
+        streams[name] = spark.readStream.schema(
+            spark.read.parquet(f"{folder}/{name}").schema
+        ).parquet(f"{folder}/{name}")
+    found = correlate(
+        streams["asked"], streams["answers"], timeout=timedelta(days=365), lateness=timedelta(days=3650)
+    )
+    with LateRowGuard(spark) as guard:
+        query = guard.watch(
+            found.writeStream.format("parquet").option("path", f"{folder}/out")
+            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        )
+        guard.finish(query)
+    kept = spark.read.schema(found.schema).parquet(f"{folder}/out").filter("request_id <> '-1'")
+    return kept.withColumn("request_id", F.col("request_id").cast("long"))
+
+
+def r1_request_stream(spark, sf_dir):
+    asked = inputs.order_events(spark, sf_dir)
+    outcomes = _live_outcomes(spark, sf_dir, asked, _SUBSYSTEMS)
+    return outcomes.select("request_id", "subsystem", "status", "value", "error_message")
+
+
+def r2_request_excise_stream(spark, sf_dir):
+    asked = inputs.order_events(spark, sf_dir).filter("payload IS NULL")
+    outcomes = _live_outcomes(spark, sf_dir, asked, ["billing"])
+    return outcomes.select("request_id", "subsystem", "status", "error_kind")
+
+
 def r3_outcome_types(spark, sf_dir):
     first = requests.first_responses(
         inputs.responses(spark, sf_dir), inputs.groups(spark)
@@ -156,6 +203,8 @@ WITH {ORDER_EVENTS}, {RESPONSES}, {_IN_TIME}, o AS (
   FROM oe LEFT JOIN in_time f ON f.request_id = oe.off AND f.subsystem = 'billing' WHERE oe.tomb)
 SELECT request_id, subsystem, CASE WHEN error_kind IS NULL THEN 'success' ELSE 'failure' END AS status,
   error_kind FROM o""")
+_register(r1_request_stream, ORACLES["r1_request_outcomes"])
+_register(r2_request_excise_stream, ORACLES["r2_request_excise"])
 _register(r3_outcome_types, f"""
 WITH {RESPONSES}
 SELECT subsystem, CASE WHEN error_kind IS NULL THEN 'success' ELSE 'failure' END AS status,
