@@ -43,6 +43,7 @@ def process_keyed(
     timeout: Duration | None = None,
     subsystem: str | None = None,
     lateness: Duration = 0,
+    reorder: bool = False,
     with_state: bool = False,
     telemetry: bool = False,
 ) -> DataFrame:
@@ -73,8 +74,14 @@ def process_keyed(
     the watermark, so set it beyond the disorder between partitions, and see
     ``check_no_late_rows``. ``with_state`` adds rows with each key's final state to a
     batch run. ``telemetry`` adds a row for every call, not only for those that fail.
-    ``timeout`` cancels ``async`` handlers; it defaults to 80 % of the
-    stall threshold.
+    ``timeout`` cancels ``async`` handlers and interrupts plain ones; such a call fails as
+    a transient error. It defaults to 80 % of the stall threshold.
+
+    A stream keeps each key's last offset per partition: a row that comes in a later
+    micro-batch than one behind it fails the query, as files listed out of order would
+    make it. ``reorder`` instead holds rows in state until the watermark has passed them,
+    and handles them in order then; that takes ``lateness`` to be beyond the disorder, and
+    adds as much delay.
     """
     check_handler(handler)
     check_collections(collections, subsystem)
@@ -83,6 +90,8 @@ def process_keyed(
     streaming = events.isStreaming
     if with_state and streaming:
         raise ValueError("with_state: a stream's state is read with committed_state")
+    if reorder and not streaming:
+        raise ValueError("reorder: a batch run is in order by itself")
     processor = KeyedProcessor(
         handler, collections,
         mode=mode, max_retries=max_retries,
@@ -91,7 +100,7 @@ def process_keyed(
         ids=None if idempotence_ttl is None
         else (duration_us(idempotence_ttl, "idempotence_ttl"), str(idempotence_version)),
         timeout_seconds=deadline_us(timeout) / 1e6,
-        streaming=streaming, with_state=with_state, telemetry=telemetry,
+        streaming=streaming, reorder=reorder, with_state=with_state, telemetry=telemetry,
     )
     spark = configure(events.sparkSession)
     headers = (

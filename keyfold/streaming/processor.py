@@ -12,7 +12,11 @@ import asyncio
 import heapq
 import inspect
 import json
+import signal
+import threading
+import time
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from typing import Any
 
@@ -37,7 +41,7 @@ _OutputRow = Row(*[part.split()[0] for part in OUTPUT_SCHEMA.split(", ")])
 
 # Spark timers have millisecond precision and handlers' timers whole seconds, so the
 # last digits tell the timers of handlers, of retries and of expiry apart.
-_RETRY_MS, _PURGE_MS = 1, 2
+_RETRY_MS, _PURGE_MS, _RELEASE_MS = 1, 2, 3
 
 # How often expired cells and ids are looked for, at most.
 _PURGE_SECONDS = 3600
@@ -45,6 +49,35 @@ _PURGE_SECONDS = 3600
 _KEY_SCHEMA = "clock long, parked_from long, parked_to long, failures int"
 
 
+@contextmanager
+def watchdog(seconds: float | None) -> Iterator[None]:
+    """Interrupt what runs in the main thread with ``TimeoutError`` once the time is up.
+
+    A worker runs handlers in its main thread. Elsewhere, and where a call does not let
+    itself be interrupted, the call is found to have been too long once it returns.
+    """
+    if seconds is None:
+        yield
+        return
+
+    def over(*_: Any) -> None:
+        raise TimeoutError(f"timeout: the call took more than {seconds} s")
+
+    interrupts = threading.current_thread() is threading.main_thread()
+    began = time.monotonic()
+    if interrupts:
+        previous = signal.signal(signal.SIGALRM, over)
+        signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        if interrupts:
+            signal.setitimer(signal.ITIMER_REAL, 0)
+            signal.signal(signal.SIGALRM, previous)
+    if time.monotonic() - began > seconds:
+        over()
+
+
 class Context:
     """What a handler may do for the current key during one call."""
 
@@ -145,6 +178,7 @@ class KeyedProcessor(StatefulProcessor):
         ids: tuple[int, str] | None,
         timeout_seconds: float | None,
         streaming: bool,
+        reorder: bool,
         with_state: bool,
         telemetry: bool,
     ) -> None:
@@ -153,6 +187,7 @@ class KeyedProcessor(StatefulProcessor):
         self._backoff, self._max_attempts = backoff_seconds, max_attempts
         self._end_attempts, self._ids = end_attempts, ids
         self._timeout, self._streaming = timeout_seconds, streaming
+        self._reorder = reorder
         self._with_state, self._telemetry = with_state, telemetry
 
     # Spark's entry points
@@ -166,6 +201,10 @@ class KeyedProcessor(StatefulProcessor):
             self._seen = handle.getMapState(
                 "engine-ids", "id string", "version string, expires long"
             )
+        if self._streaming:
+            self._places = handle.getMapState("engine-places", "partition int", "offset long")
+        if self._reorder:
+            self._waiting = handle.getMapState("engine-waiting", "partition int, offset long", "row string")
         self._loop: asyncio.AbstractEventLoop | None = None
         methods = {n: getattr(self._handler, n) for n in ("on_message", "on_excise", "on_timer")}
         self._methods = {n: (m, inspect.iscoroutinefunction(m)) for n, m in methods.items()}
@@ -176,21 +215,15 @@ class KeyedProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         run = self._load(key)
+        if self._reorder:
+            self._hold(rows)
+            self._save(run)
+            return
         if self._streaming:
             # Spark hands a micro-batch's rows of a key in no order. Their number is
             # bounded by the trigger's limit on files or offsets.
             rows = iter(sorted(rows, key=lambda r: (r.partition, r.offset)))
-        last = None
-        for row in rows:
-            place = (row.partition, row.offset)
-            if last is not None and place < last:
-                raise RuntimeError(f"rows of key {run.key!r} are out of order: {last}, {place}")
-            last = place
-            if self._is_duplicate(run, row):
-                continue
-            yield from self._advance(run, row.us)
-            run.clock = max(run.clock, row.us)
-            yield from self._deliver(run, _record_call(row))
+        yield from self._handle(run, rows)
         if not self._streaming:
             yield from self._drain(run)
             yield from self._state_rows(run)
@@ -201,6 +234,8 @@ class KeyedProcessor(StatefulProcessor):
     ) -> Iterator[Row]:
         run = self._load(key)
         expired_ms = expiredTimerInfo.getExpiryTimeInMs()
+        if self._reorder:
+            yield from self._handle(run, self._released(expired_ms * 1000))
         yield from self._advance(run, expired_ms * 1000)
         if expired_ms % 1000 == _PURGE_MS and self._purge(run, expired_ms * 1000):
             # Nothing is left, and the watermark is past the clock: forget the key.
@@ -208,6 +243,61 @@ class KeyedProcessor(StatefulProcessor):
         else:
             self._save(run)
 
+    def _handle(self, run: KeyRun, rows: Iterator[Row]) -> Iterator[Row]:
+        """Deliver rows that are in order, and see to it that they are.
+
+        On a stream the last offset handled per partition is kept with the key: a row that
+        comes after a later one was handled fails the query.
+        """
+        last, partition = None, None
+        for row in rows:
+            place = (row.partition, row.offset)
+            if last is not None and place < last:
+                raise RuntimeError(f"rows of key {run.key!r} are out of order: {last}, {place}")
+            if self._streaming and row.partition != partition:
+                if partition is not None:
+                    self._places.updateValue((partition,), (last[1],))
+                partition = row.partition
+                handled = self._places.getValue((partition,))
+                if handled is not None and row.offset <= handled[0]:
+                    raise RuntimeError(
+                        f"rows of key {run.key!r} are out of order: offset {row.offset} of partition "
+                        f"{partition} comes after {handled[0]} was handled"
+                    )
+            last = place
+            if self._is_duplicate(run, row):
+                continue
+            yield from self._advance(run, row.us)
+            run.clock = max(run.clock, row.us)
+            yield from self._deliver(run, _record_call(row))
+        if partition is not None:
+            self._places.updateValue((partition,), (last[1],))
+
+    # Order over micro-batches
+
+    def _hold(self, rows: Iterator[Row]) -> None:
+        """Keep rows until the watermark has passed them, when none can come before them."""
+        for row in rows:
+            content = json.dumps(row.asDict(), default=str)
+            self._waiting.updateValue((row.partition, row.offset), (content,))
+            self._spark.registerTimer(-(-row.us // SECOND_US) * 1000 + _RELEASE_MS)
+
+    def _released(self, now_us: int) -> list[Row]:
+        """Rows the watermark has passed, in order; one that it has not holds back those
+        behind it in its partition."""
+        held: set[int] = set()
+        found = []
+        for place in sorted(tuple(place) for place in self._waiting.keys()):
+            if place[0] in held:
+                continue
+            row = json.loads(self._waiting.getValue(place)[0])
+            if row["us"] > now_us:
+                held.add(place[0])
+                continue
+            self._waiting.removeKey(place)
+            found.append(Row(**row))
+        return found
+
     # Duplicates
 
     def _is_duplicate(self, run: KeyRun, row: Row) -> bool:
@@ -282,6 +372,7 @@ class KeyedProcessor(StatefulProcessor):
     def _purge(self, run: KeyRun, now_us: int) -> bool:
         """Drop cells that have expired, which reads hide until then; true if none is left."""
         left = self._forget_ids(now_us) or bool(run.timers) or run.has_parked
+        left = left or self._reorder and next(iter(self._waiting.keys()), None) is not None
         for cells in run.cells.values():
             held = list(cells.scan())
             gone = [c for c, content in held if content[1] and content[1] <= now_us]
@@ -405,7 +496,8 @@ class KeyedProcessor(StatefulProcessor):
                 call["headers"], call["payload"],
             )
         if not is_async:
-            return method(context, argument)
+            with watchdog(self._timeout):
+                return method(context, argument)
         if self._loop is None:
             self._loop = asyncio.new_event_loop()
         running = method(AsyncView(context), argument)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import timedelta
 
@@ -141,6 +142,30 @@ class FailingHandler(EventHandler):
         pass
 
 
+class SlowHandler(EventHandler):
+    """A plain handler that takes far too long over some events."""
+
+    def on_message(self, context, message):
+        if message.offset % 499 == 0:
+            time.sleep(60)
+
+    def on_excise(self, context, message):
+        pass
+
+    def on_timer(self, context, timer):
+        pass
+
+
+def e11_deadline_calls(spark, sf_dir):
+    """Calls cut off at their deadline, and all others, by how they ended."""
+    events = inputs.events(spark, sf_dir).drop("headers")
+    rows = process_keyed(events, SlowHandler(), mode="best-effort", timeout=0.25, telemetry=True)
+    timed_out = F.coalesce(F.col("error").startswith("timeout"), F.lit(False)).alias("timed_out")
+    return call_rows(rows).groupBy("call", "outcome", "category", timed_out).agg(
+        F.count("*").alias("n")
+    )
+
+
 def e5_low_latency_calls(spark, sf_dir):
     events = inputs.events(spark, sf_dir).drop("headers")
     rows = process_keyed(
@@ -152,6 +177,7 @@ def e5_low_latency_calls(spark, sf_dir):
 
 QUERIES["d3_queue_pops"] = d3_queue_pops
 QUERIES["e5_low_latency_calls"] = e5_low_latency_calls
+QUERIES["e11_deadline_calls"] = e11_deadline_calls
 QUERIES["b_process_keyed_batch"] = b_process_keyed_batch
 QUERIES["b_process_keyed_stream"] = b_process_keyed_stream
 # Windows whose key was excised before they closed send no summary.
@@ -187,6 +213,11 @@ WITH RECURSIVE {EV}, c AS (
   FROM w JOIN c ON c.key = w.key AND c.rn = w.rn + 1
 )
 SELECT key, off AS "offset", item, CAST(len(q) AS BIGINT) AS "left" FROM w WHERE pops"""
+ORACLES["e11_deadline_calls"] = f"""
+WITH {EV} SELECT CASE WHEN tomb THEN 'on_excise' ELSE 'on_message' END AS call,
+  CASE WHEN NOT tomb AND off % 499 = 0 THEN 'skipped' ELSE 'ok' END AS outcome,
+  CASE WHEN NOT tomb AND off % 499 = 0 THEN 'transient' END AS category,
+  NOT tomb AND off % 499 = 0 AS timed_out, count(*) AS n FROM ev GROUP BY 1, 2, 3, 4"""
 # A failed event's tries stay counted for the key's next one.
 ORACLES["e5_low_latency_calls"] = f"""
 WITH RECURSIVE {EV}, c AS (
