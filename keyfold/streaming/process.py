@@ -23,6 +23,9 @@ from keyfold.streaming.handles import ENDS_CELL
 from keyfold.streaming.messages import check_handler
 from keyfold.streaming.processor import OUTPUT_SCHEMA, KeyedProcessor
 
+# What to do about a stream's rows that come after rows behind them.
+ORDERS = ("fail", "wait", "take")
+
 # Batch runs must end: tries of a failing call once the input is at its end.
 END_ATTEMPTS = 10
 
@@ -43,7 +46,7 @@ def process_keyed(
     timeout: Duration | None = None,
     subsystem: str | None = None,
     lateness: Duration = 0,
-    reorder: bool = False,
+    out_of_order: str = "fail",
     with_state: bool = False,
     telemetry: bool = False,
 ) -> DataFrame:
@@ -77,11 +80,12 @@ def process_keyed(
     ``timeout`` cancels ``async`` handlers and interrupts plain ones; such a call fails as
     a transient error. It defaults to 80 % of the stall threshold.
 
-    A stream keeps each key's last offset per partition: a row that comes in a later
-    micro-batch than one behind it fails the query, as files listed out of order would
-    make it. ``reorder`` instead holds rows in state until the watermark has passed them,
-    and handles them in order then; that takes ``lateness`` to be beyond the disorder, and
-    adds as much delay.
+    ``out_of_order`` is for a stream's rows that come in a later micro-batch than one
+    behind them, as from files listed out of order. ``fail`` keeps each key's last offset
+    per partition and fails the query. ``wait`` holds rows in state until the watermark has
+    passed them and handles them in order then; that takes a ``lateness`` beyond the
+    disorder, and adds as much delay. ``take`` handles rows as they come, for handlers to
+    which order means nothing.
     """
     check_handler(handler)
     check_collections(collections, subsystem)
@@ -90,8 +94,8 @@ def process_keyed(
     streaming = events.isStreaming
     if with_state and streaming:
         raise ValueError("with_state: a stream's state is read with committed_state")
-    if reorder and not streaming:
-        raise ValueError("reorder: a batch run is in order by itself")
+    if out_of_order not in ORDERS:
+        raise ValueError(f"out_of_order: expected one of {ORDERS}, got {out_of_order!r}")
     processor = KeyedProcessor(
         handler, collections,
         mode=mode, max_retries=max_retries,
@@ -100,7 +104,7 @@ def process_keyed(
         ids=None if idempotence_ttl is None
         else (duration_us(idempotence_ttl, "idempotence_ttl"), str(idempotence_version)),
         timeout_seconds=deadline_us(timeout) / 1e6,
-        streaming=streaming, reorder=reorder, with_state=with_state, telemetry=telemetry,
+        streaming=streaming, order=out_of_order if streaming else "take", with_state=with_state, telemetry=telemetry,
     )
     spark = configure(events.sparkSession)
     headers = (

@@ -178,7 +178,7 @@ class KeyedProcessor(StatefulProcessor):
         ids: tuple[int, str] | None,
         timeout_seconds: float | None,
         streaming: bool,
-        reorder: bool,
+        order: str,
         with_state: bool,
         telemetry: bool,
     ) -> None:
@@ -187,7 +187,7 @@ class KeyedProcessor(StatefulProcessor):
         self._backoff, self._max_attempts = backoff_seconds, max_attempts
         self._end_attempts, self._ids = end_attempts, ids
         self._timeout, self._streaming = timeout_seconds, streaming
-        self._reorder = reorder
+        self._reorder, self._check_order = order == "wait", order in ("fail", "wait")
         self._with_state, self._telemetry = with_state, telemetry
 
     # Spark's entry points
@@ -201,7 +201,7 @@ class KeyedProcessor(StatefulProcessor):
             self._seen = handle.getMapState(
                 "engine-ids", "id string", "version string, expires long"
             )
-        if self._streaming:
+        if self._check_order:
             self._places = handle.getMapState("engine-places", "partition int", "offset long")
         if self._reorder:
             self._waiting = handle.getMapState("engine-waiting", "partition int, offset long", "row string")
@@ -246,15 +246,15 @@ class KeyedProcessor(StatefulProcessor):
     def _handle(self, run: KeyRun, rows: Iterator[Row]) -> Iterator[Row]:
         """Deliver rows that are in order, and see to it that they are.
 
-        On a stream the last offset handled per partition is kept with the key: a row that
-        comes after a later one was handled fails the query.
+        The last offset handled per partition is kept with the key: a row that comes after a
+        later one was handled fails the query, unless order is not asked for.
         """
         last, partition = None, None
         for row in rows:
             place = (row.partition, row.offset)
             if last is not None and place < last:
                 raise RuntimeError(f"rows of key {run.key!r} are out of order: {last}, {place}")
-            if self._streaming and row.partition != partition:
+            if self._check_order and row.partition != partition:
                 if partition is not None:
                     self._places.updateValue((partition,), (last[1],))
                 partition = row.partition

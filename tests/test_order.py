@@ -77,7 +77,7 @@ def test_files_out_of_order_are_put_in_order(spark, tmp_path, log):
     assert len(expected) > 40
     files(spark, tmp_path / "in", log, SHUFFLED)
     events = read_log(spark, str(tmp_path / "in"), stream=True, max_files_per_trigger=1)
-    rows = process_keyed(events, Chain(), [SEEN], lateness=timedelta(minutes=30), reorder=True)
+    rows = process_keyed(events, Chain(), [SEEN], lateness=timedelta(minutes=30), out_of_order="wait")
     with LateRowGuard(spark) as guard:
         guard.finish(guard.watch(started(rows, tmp_path)), 300)
     assert chained(spark.read.schema(rows.schema).parquet(f"{tmp_path}/out")) == expected
