@@ -52,3 +52,22 @@ def pinned(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own, in whatever store it is."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)

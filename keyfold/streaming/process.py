@@ -16,7 +16,7 @@ from keyfold.operators.failures import (
     DEFER_BASE_SECONDS, DEFER_CAP_SECONDS, MAX_RETRIES, MODES, deadline_us,
 )
 from keyfold.operators.log import lifecycle_rows
-from keyfold.operators.published import publish
+from keyfold.operators.published import last_published, publish, publish_changes
 from keyfold.session import configure
 from keyfold.sources.events import ENTITY
 from keyfold.streaming.handles import ENDS_CELL
@@ -229,6 +229,42 @@ def committed_state(
     )
 
 
+def state_changes(
+    spark: SparkSession, checkpoint: str, definition: Collection, first: int, last: int
+) -> DataFrame:
+    """What a stream's micro-batches from ``first`` to ``last`` changed in a collection.
+
+    Rows for ``operators.published.publish_changes``: the newest values, with ``_deleted``
+    and the time they expire. Read from the state's change log, so only changes are read; of
+    a deque with changes all slots are, from the committed state.
+    """
+    feed = (
+        spark.read.format("statestore").option("stateVarName", definition.name)
+        .option("readChangeFeed", True).option("changeStartBatchId", first)
+        .option("changeEndBatchId", last).load(checkpoint)
+    )
+    if definition.kind == "deque":
+        slots = committed_state(spark, checkpoint, definition, batch_id=last)
+        touched = feed.select("key.*").distinct()
+        left = slots.join(touched, ENTITY, "left_semi").withColumn("_deleted", F.lit(False))
+        gone = touched.join(slots.select(*ENTITY).distinct(), ENTITY, "left_anti")
+        return left.unionByName(gone.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
+    cell, content = [*ENTITY], "value"
+    if definition.kind == "map":
+        cell, content = [*ENTITY, "map_key"], "user_map_value"
+        feed = feed.withColumn("map_key", F.col("user_map_key.k"))
+    deleted = F.col("change_type") != "update"
+    rows = feed.select(
+        "key.*", *cell[2:], "batch_id", deleted.alias("_deleted"),
+        F.col(f"{content}.v").alias("value"), F.col(f"{content}.expires").alias("_expires_us"),
+    )
+    # a cell is written once per micro-batch
+    newest = rows.groupBy(*cell).agg(
+        F.max_by(F.struct("value", "_expires_us", "_deleted"), "batch_id").alias("_row")
+    )
+    return newest.select(*cell, "_row.*")
+
+
 def publish_state(
     spark: SparkSession,
     checkpoint: str,
@@ -238,15 +274,23 @@ def publish_state(
     subsystem: str,
     group_id: str,
     as_of: datetime,
+    changes: bool = False,
 ) -> None:
-    """Publish a collection as the stream's last finished micro-batch left it at ``as_of``."""
+    """Publish a collection as the stream's last finished micro-batch left it at ``as_of``.
+
+    With ``changes``, only what changed since the batch this group published last is read
+    and written, if there is one; nothing is done if no micro-batch has ended since.
+    """
     batches = spark.read.format("state-metadata").load(checkpoint)
     batch_id = batches.agg(F.max("maxBatchId")).first()[0]
-    publish(
-        committed_state(spark, checkpoint, definition, as_of=as_of, batch_id=batch_id),
-        path, definition,
-        subsystem=subsystem, group_id=group_id, batch_id=batch_id, as_of=as_of,
-    )
+    place = {"subsystem": subsystem, "group_id": group_id}
+    before = last_published(spark, path, definition, **place) if changes else None
+    if before is None:
+        rows = committed_state(spark, checkpoint, definition, as_of=as_of, batch_id=batch_id)
+        publish(rows, path, definition, batch_id=batch_id, as_of=as_of, **place)
+    elif before < batch_id:
+        rows = state_changes(spark, checkpoint, definition, before + 1, batch_id)
+        publish_changes(rows, path, definition, batch_id=batch_id, as_of=as_of, **place)
 
 
 def check_no_late_rows(query: Any) -> None:
