@@ -36,8 +36,9 @@ class Training:
     """Bounds and settings of the fit.
 
     The sample is the only bounded part: ``docs_per_language`` different texts, those least
-    by a hash, and ``chars`` characters of each. Sequences of ``length`` words join
-    runs of ``run`` words on average from different texts, so that transitions are learned.
+    by a hash, and a passage of ``chars`` characters of each, from a place anywhere in the
+    text. Sequences of ``length`` words join runs of ``run`` words on average from different
+    texts, so that transitions are learned.
     """
 
     docs_per_language: int = 300
@@ -134,7 +135,11 @@ def sample(docs: DataFrame, how: Training, id_col: str, text_col: str, label_col
         F.col(text_col).cast("string").alias("text"),
         held_out(id_col).alias("held"),
     ).filter("label is not null and text is not null and held = false")
-    rows = rows.select("label", F.substring("text", 1, how.chars).alias("text"), F.xxhash64("text").alias("h"))
+    # the passage's place is drawn by a hash of the text, so copies give the same passage
+    places = F.greatest(F.lit(1), F.length("text") - how.chars + 1)
+    start = F.pmod(F.xxhash64("text", F.lit(how.seed)), places) + 1
+    passage = F.substr("text", start.cast("int"), F.lit(how.chars))
+    rows = rows.select("label", passage.alias("text"), F.xxhash64("text").alias("h"))
     different = rows.groupBy("label").agg(F.approx_count_distinct("h", 0.05).alias("d"))
     share = F.least(F.lit(1.0), F.lit(_SPARE * how.docs_per_language) / F.col("d"))
     shares = [tuple(r) for r in different.select("label", share).collect()]
