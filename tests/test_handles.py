@@ -1,6 +1,9 @@
 """State handles over a plain dictionary in place of Spark's store."""
 
+import collections
+import copy
 from datetime import datetime, timezone
+from random import Random as random_of
 
 import pytest
 
@@ -48,9 +51,8 @@ class Key:
             cells.flush()
 
 
-CART, TOTALS, BACKLOG = d.value("cart"), d.map("totals"), d.deque("backlog")
-BOUNDED, LOG = d.deque("bounded", capacity=3), d.message_deque("log")
-RICH = {"s": "café 😀", "n": 3.5, "b": True, "arr": [1, "x", None], "nested": {"z": [True, 2]}}
+VALUE, MAP, DEQUE = d.value("one"), d.map("many"), d.deque("row")
+LOG = d.message_deque("messages")
 
 
 @pytest.fixture(params=[False, True], ids=["cached", "stored"])
@@ -63,116 +65,142 @@ def message(offset=1):
     return deliver("t", 0, offset, 0, "k", {}, '{"n": %d}' % offset)
 
 
-def test_value(between):
-    key = Key(CART)
-    cart = key.call(CART)
-    assert cart.get() is None
-    cart.set(RICH)
-    assert cart.get() == RICH
-    cart.commit()
-    between(key)
-    cart = key.call(CART)
-    for item in (0, False, "", []):
-        cart.set(item)
-        assert cart.get() == item and cart.get() is not None
-    cart.rollback()
-    assert cart.get() == RICH
-    cart.clear()
-    assert cart.get() is None
-    cart.commit()
-    between(key)
-    assert key.call(CART).get() is None
-
-
-def test_map(between):
-    key = Key(TOTALS)
-    totals = key.call(TOTALS)
-    for name, item in (("k1", 1), ("café", 9), ("😀", 7), ("k2", 5)):
-        totals.set(name, item)
-    totals.remove("k2")
-    totals.commit()
-    between(key)
-    totals = key.call(TOTALS)
-    assert list(totals.items()) == [("café", 9), ("k1", 1), ("😀", 7)]
-    assert list(totals.items(Direction.BACKWARD)) == [("😀", 7), ("k1", 1), ("café", 9)]
-    assert list(totals) == list(totals.keys()) == ["café", "k1", "😀"]
-    assert list(totals.values()) == [9, 1, 7]
-    assert totals.get_many(["k1", "absent", "x", "café", "k1"]) == [1, None, None, 9, 1]
-    assert totals.get_many([]) == []
-    assert totals.contains("k1") and not totals.contains("k2")
-    assert totals.get("k2", 42) == 42
-    totals.set("zero", 0)
-    assert totals.get("zero", 42) == 0
-    totals.clear()
-    totals.set("only", 1)
-    assert list(totals.items()) == [("only", 1)]
-    totals.commit()
-    between(key)
-    assert list(key.call(TOTALS).items()) == [("only", 1)]
+def some_json(random, depth=0):
+    """A random JSON value other than null."""
+    kind = random.randrange(4 if depth > 2 else 6)
+    if kind == 0:
+        return random.randrange(-(2**40), 2**40)
+    if kind == 1:
+        return random.random() * 1e6
+    if kind == 2:
+        return "".join(chr(random.choice([33, 99, 228, 1078, 8364, 128640])) for _ in range(random.randrange(6)))
+    if kind == 3:
+        return random.random() < 0.5
+    parts = [random.choice([None, some_json(random, depth + 1)]) for _ in range(random.randrange(4))]
+    return parts if kind == 4 else {f"f{n}": part for n, part in enumerate(parts)}
+
+
+def walk(definition, model, steps, act, between, seed):
+    """Random acts on a handle and on a plain object, with commits, rollbacks and reloads."""
+    random, key = random_of(seed), Key(definition)
+    handle, kept = key.call(definition), copy.deepcopy(model)
+    for _ in range(steps):
+        act(random, handle, model)
+        chance = random.random()
+        if chance < 0.15:
+            handle.commit()
+            kept = copy.deepcopy(model)
+            between(key)
+            handle = key.call(definition)
+        elif chance < 0.25:
+            handle.rollback()
+            model = copy.deepcopy(kept)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_value_follows_a_plain_variable(between, seed):
+    def act(random, handle, model):
+        if random.random() < 0.2:
+            handle.clear()
+            model["now"] = None
+        else:
+            model["now"] = random.choice([0, False, "", [], {}, some_json(random)])
+            handle.set(model["now"])
+        found = handle.get()
+        assert found == model["now"] and type(found) is type(model["now"])
+
+    walk(d.value("one"), {"now": None}, 60, act, between, seed)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_map_follows_a_dictionary(between, seed):
+    names = [f"n{k}" for k in range(9)] + ["\u00e4", "\u0436\u0436", "\u20ac", "\U0001f680", "", "N1"]
+
+    def act(random, handle, model):
+        name, chance = random.choice(names), random.random()
+        if chance < 0.6:
+            model[name] = random.choice([0, False, some_json(random)])
+            handle.set(name, model[name])
+        elif chance < 0.9:
+            model.pop(name, None)
+            handle.remove(name)
+        else:
+            model.clear()
+            handle.clear()
+        asked = [random.choice(names) for _ in range(random.randrange(5))] * 2
+        assert handle.get_many(asked) == [model.get(n) for n in asked]
+        assert handle.contains(name) == (name in model)
+        assert handle.get(name, "none") == model.get(name, "none")
+        entries = sorted(model.items(), key=lambda entry: entry[0].encode())
+        assert list(handle.items()) == entries
+        assert list(handle.items(Direction.BACKWARD)) == entries[::-1]
+        assert list(handle) == list(handle.keys()) == [n for n, _ in entries]
+        assert list(handle.values()) == [v for _, v in entries]
+
+    walk(d.map("many"), {}, 60, act, between, seed)
+
+
+def test_map_names_are_text():
     with pytest.raises(TransientStateError):
-        key.call(TOTALS).get(5)
+        Key(MAP).call(MAP).get(5)
 
 
-def test_map_scan_orders_many_entries(between):
-    key = Key(TOTALS)
-    totals = key.call(TOTALS)
-    for n in reversed(range(300)):
-        totals.set(f"k{n:03d}", n)
-    totals.commit()
+def test_map_scan_may_stop_early(between):
+    key = Key(MAP)
+    entries = key.call(MAP)
+    names = sorted({f"{n * 7919 % 1000:x}" for n in range(500)}, key=str.encode)
+    for n in reversed(names):
+        entries.set(n, len(n))
+    entries.commit()
     between(key)
-    scan = key.call(TOTALS).keys()
-    assert [next(scan) for _ in range(5)] == [f"k{n:03d}" for n in range(5)]
+    scan = key.call(MAP).keys(Direction.BACKWARD)
+    assert [next(scan), next(scan)] == names[:-3:-1]
     scan.close()
-    assert list(key.call(TOTALS).keys()) == [f"k{n:03d}" for n in range(300)]
-
-
-def test_deque(between):
-    key = Key(BACKLOG)
-    backlog = key.call(BACKLOG)
-    assert backlog.is_empty() and backlog.pop() is None and backlog.popleft() is None
-    backlog.append("a")
-    backlog.append("b")
-    backlog.appendleft("z")
-    backlog.commit()
-    between(key)
-    backlog = key.call(BACKLOG)
-    assert list(backlog.values()) == list(backlog) == ["z", "a", "b"]
-    assert list(backlog.values(Direction.BACKWARD)) == ["b", "a", "z"]
-    assert [backlog.get(i) for i in (0, 2, 3, -1, -3, -4)] == ["z", "b", None, "b", "z", None]
-    assert backlog.peek() == "b" and backlog.peekleft() == "z" and backlog.size() == 3
+    assert list(key.call(MAP).keys()) == names
+
+
+@pytest.mark.parametrize("capacity", [None, 1, 4])
+@pytest.mark.parametrize("seed", range(4))
+def test_deque_follows_a_plain_one(between, seed, capacity):
+    def act(random, handle, model):
+        chance, item = random.random(), some_json(random)
+        if chance < 0.35:
+            handle.append(item)
+            model.append(item)
+        elif chance < 0.6:
+            handle.appendleft(item)
+            model.appendleft(item)
+        elif chance < 0.75:
+            assert handle.pop() == (model.pop() if model else None)
+        elif chance < 0.95:
+            assert handle.popleft() == (model.popleft() if model else None)
+        else:
+            handle.clear()
+            model.clear()
+        items = list(model)
+        assert list(handle) == list(handle.values()) == items
+        assert list(handle.values(Direction.BACKWARD)) == items[::-1]
+        assert handle.size() == len(items) and handle.is_empty() == (not items)
+        assert (handle.peekleft(), handle.peek()) == ((items[0], items[-1]) if items else (None, None))
+        place = random.randrange(-len(items) - 2, len(items) + 2)
+        inside = -len(items) <= place < len(items)
+        assert handle.get(place) == (items[place] if inside else None)
+
+    walk(d.deque("row", capacity=capacity), collections.deque(maxlen=capacity), 70, act, between, seed)
+
+
+def test_deque_places_are_whole_numbers():
     with pytest.raises(TypeError):
-        backlog.get(1.5)
-    assert backlog.popleft() == "z" and backlog.pop() == "b" and backlog.size() == 1
-    backlog.rollback()
-    assert backlog.size() == 3
-    backlog.clear()
-    assert backlog.is_empty()
-    backlog.append("new")
-    backlog.commit()
-    between(key)
-    assert list(key.call(BACKLOG)) == ["new"]
-
-
-def test_bounded_deque_evicts_the_far_end(between):
-    key = Key(BOUNDED)
-    bounded = key.call(BOUNDED)
-    for item in "abcde":
-        bounded.append(item)
-    bounded.commit()
-    between(key)
-    bounded = key.call(BOUNDED)
-    assert (bounded.size(), bounded.peekleft(), bounded.peek()) == (3, "c", "e")
-    bounded.appendleft("x")
-    assert list(bounded) == ["x", "c", "d"]
+        Key(DEQUE).call(DEQUE).get(1.5)
 
 
 def test_lowered_capacity_takes_effect_on_push():
-    key = Key(BACKLOG)
-    backlog = key.call(BACKLOG)
+    key = Key(DEQUE)
+    backlog = key.call(DEQUE)
     for n in range(6):
         backlog.append(n)
     backlog.commit()
-    narrow = KeyCells(d.deque("backlog", capacity=2), key.stores["backlog"])
+    narrow = KeyCells(d.deque("row", capacity=2), key.stores["row"])
     key.flush()
     handle = handles.DequeState(narrow, Attempt(0))
     assert handle.size() == 6
@@ -181,8 +209,8 @@ def test_lowered_capacity_takes_effect_on_push():
 
 
 def test_commit_survives_failure_and_rollback_stops_at_it():
-    key = Key(CART)
-    cart = key.call(CART)
+    key = Key(VALUE)
+    cart = key.call(VALUE)
     cart.set("floor")
     cart.commit()
     cart.set("later")
@@ -190,7 +218,7 @@ def test_commit_survives_failure_and_rollback_stops_at_it():
     assert cart.get() == "floor"
     cart.set("lost")
     key.attempt.alive = False  # the call fails: nothing is committed
-    assert key.call(CART).get() == "floor"
+    assert key.call(VALUE).get() == "floor"
 
 
 def test_read_uncommitted_writes_through():
@@ -227,8 +255,8 @@ def test_expired_deque_slots_are_holes_with_a_place():
 
 
 def test_handles_and_scans_die_with_their_call():
-    key = Key(CART, TOTALS)
-    cart, totals = key.call(CART), key.call(TOTALS)
+    key = Key(VALUE, MAP)
+    cart, totals = key.call(VALUE), key.call(MAP)
     totals.set("a", 1)
     totals.set("b", 2)
     scan = totals.items()
@@ -242,24 +270,24 @@ def test_handles_and_scans_die_with_their_call():
 
 @pytest.mark.parametrize("item", [object(), lambda: 1, {1: "a"}, float("nan"), {"a": {2}}, b"x"])
 def test_unrepresentable_writes_are_refused(item):
-    key = Key(CART, TOTALS, BACKLOG)
+    key = Key(VALUE, MAP, DEQUE)
     for write in (
-        key.call(CART).set, lambda x: key.call(TOTALS).set("k", x), key.call(BACKLOG).append,
+        key.call(VALUE).set, lambda x: key.call(MAP).set("k", x), key.call(DEQUE).append,
     ):
         with pytest.raises(TransientStateError, match="JSON"):
             write(item)
 
 
 def test_null_is_absence():
-    key = Key(CART, BACKLOG)
+    key = Key(VALUE, DEQUE)
     with pytest.raises(NullValueError):
-        key.call(CART).set(None)
+        key.call(VALUE).set(None)
     with pytest.raises(ValueError):
-        key.call(BACKLOG).append(None)
+        key.call(DEQUE).append(None)
 
 
 def test_messages_only_as_delivered():
-    key = Key(CART, LOG)
+    key = Key(VALUE, LOG)
     log = key.call(LOG)
     log.append(message(7))
     log.commit()
@@ -272,11 +300,11 @@ def test_messages_only_as_delivered():
         with pytest.raises(TransientStateError):
             key.call(LOG).append(item)
     with pytest.raises(TransientStateError):
-        key.call(CART).set(message())
+        key.call(VALUE).set(message())
 
 
 def test_binding():
-    key = Key(CART)
+    key = Key(VALUE)
     with pytest.raises(PermanentStateError):
         key.call(d.value("unknown"))
     with pytest.raises(PermanentStateError):
@@ -284,16 +312,16 @@ def test_binding():
     with pytest.raises(TransientStateError):
         key.call("cart")
     with pytest.raises(TransientStateError):
-        key.call(CART).get()
+        key.call(VALUE).get()
         handles._is_backward("sideways")
 
 
 def test_cache_gives_way_to_the_store(monkeypatch):
     monkeypatch.setattr(handles, "MAX_CACHED_CELLS", 4)
-    key = Key(TOTALS)
+    key = Key(MAP)
     for n in range(50):
-        totals = key.call(TOTALS)
+        totals = key.call(MAP)
         totals.set(f"k{n % 20:02d}", totals.get(f"k{n % 20:02d}", 0) + 1)
         totals.commit()
     key.flush()
-    assert list(key.call(TOTALS).items()) == [(f"k{n:02d}", 3 if n < 10 else 2) for n in range(20)]
+    assert list(key.call(MAP).items()) == [(f"k{n:02d}", 3 if n < 10 else 2) for n in range(20)]

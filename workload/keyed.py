@@ -20,45 +20,45 @@ from workload.inputs import EV
 QUERIES, ORACLES = {}, {}
 
 LENGTH = timedelta(days=1)
-WINDOW = value("window")
-PENDING = message_deque("pending", capacity=3)
+# A burst runs for LENGTH from its first event: the tally, and the last events after the first.
+TALLY = value("tally")
+LATEST = message_deque("latest", capacity=3)
 QUEUE = deque("queue")
 # Counts tries across failed attempts, so it must not be part of their transaction.
 TRIES = value("tries", read_uncommitted=True)
 
 
 class BurstHandler(EventHandler):
-    """Opens a window on a key's first event, holds the rest, sums up on the timer."""
+    """Tallies a burst of a key's events; its end, a timer, reports and forgets it."""
 
     def on_message(self, context, message):
-        window = context.state(WINDOW)
-        opened = window.get()
-        if opened is None:
-            window.set([message.offset, context.now.timestamp(), 0, message.offset])
+        tally = context.state(TALLY)
+        burst = tally.get()
+        if burst:
+            burst |= {"held": burst["held"] + 1, "last_offset": message.offset}
+            context.state(LATEST).append(message)
+        else:
+            burst = {"open_offset": message.offset, "held": 0, "last_offset": message.offset}
             context.clear_and_schedule(context.now + LENGTH)
-            return
-        opened[2:] = [opened[2] + 1, message.offset]
-        window.set(opened)
-        context.state(PENDING).append(message)
+        tally.set(burst)
 
     def on_timer(self, context, timer):
-        window, pending = context.state(WINDOW), context.state(PENDING)
-        opened = window.get()
-        context.emit(
-            {
-                "open_offset": opened[0], "held": opened[2], "last_offset": opened[3],
-                "close_second": int(timer.time.timestamp()), "summarised": pending.size(),
-            }
-        )
-        pending.clear()
-        window.clear()
+        ended = {
+            "close_second": int(timer.time.timestamp()),
+            "summarised": context.state(LATEST).size(),
+        }
+        context.emit(context.state(TALLY).get() | ended)
+        self._forget(context)
 
     def on_excise(self, context, message):
-        # A window that excision cuts short leaves no summary of its own.
-        context.state(PENDING).clear()
-        context.state(WINDOW).clear()
+        # A burst that excision cuts short leaves no report.
+        self._forget(context)
         context.clear_scheduled()
 
+    def _forget(self, context):
+        for collection in (TALLY, LATEST):
+            context.state(collection).clear()
+
 
 def _summaries(outputs):
     summary = F.from_json(
@@ -70,7 +70,7 @@ def _summaries(outputs):
 
 def b_process_keyed_batch(spark, sf_dir):
     events = inputs.events(spark, sf_dir).drop("headers")
-    return _summaries(output_rows(process_keyed(events, BurstHandler(), [WINDOW, PENDING])))
+    return _summaries(output_rows(process_keyed(events, BurstHandler(), [TALLY, LATEST])))
 
 
 def b_process_keyed_stream(spark, sf_dir):
@@ -80,7 +80,7 @@ def b_process_keyed_stream(spark, sf_dir):
         spark.readStream.schema(source).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
     events = inputs.event_log(raw).drop("headers")
-    rows = process_keyed(events, BurstHandler(), [WINDOW, PENDING])
+    rows = process_keyed(events, BurstHandler(), [TALLY, LATEST])
     folder = f"{shared_dir(spark)}/burst-{uuid.uuid4().hex}"
     query = (
         output_rows(rows).writeStream.format("parquet").outputMode("append")
