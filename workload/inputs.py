@@ -158,8 +158,11 @@ def deque_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timer_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Timer commands; times sit on a coarse grid so that they meet again."""
-    log = writes(spark, sf_dir).filter("type IS NOT NULL OR excised")
+    """Timer commands; times sit on a coarse grid so that they meet again.
+
+    Half of the times are to be rounded up to a second, half down.
+    """
+    log = writes(spark, sf_dir)
     op = (
         F.when(F.col("excised"), "clear_scheduled")
         .when(F.col("type") == "click", "clear_and_schedule")
@@ -167,7 +170,7 @@ def timer_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("schedule")
     )
     grid = F.date_trunc("day", F.col("timestamp")) + F.make_dt_interval(
-        days=F.col("offset") % 3, hours=F.lit(12), secs=F.lit(0.4)
+        days=F.col("offset") % 3, hours=F.lit(12), secs=F.when(F.col("offset") % 2 == 0, 0.4).otherwise(0.6)
     )
     return log.select(
         "topic", "key", "offset", "timestamp", op.alias("op"),
@@ -317,8 +320,10 @@ TIMER_COMMANDS = EV + """, tc AS (
          CASE WHEN tomb THEN 'clear_scheduled' WHEN etype = 'click' THEN 'clear_and_schedule'
               WHEN etype = 'purchase' THEN 'unschedule' ELSE 'schedule' END AS op,
          CASE WHEN NOT tomb THEN
-           (us // 86400000000) * 86400 + (off % 3) * 86400 + 43200 END AS sec
-  FROM ev WHERE tomb OR etype IS NOT NULL)"""
+           (us // 86400000000) * 86400 + (off % 3) * 86400 + 43200 + off % 2 END AS sec,
+         CASE WHEN NOT tomb THEN ((us // 86400000000) + off % 3) * 86400000000
+           + 43200000000 + CASE WHEN off % 2 = 0 THEN 400000 ELSE 600000 END END AS time_us
+  FROM ev)"""
 
 ORDER_EVENTS = """oe AS (
   SELECT 'orders' AS topic, CAST(o_custkey % 4 AS INTEGER) AS part, o_orderkey AS off,

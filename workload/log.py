@@ -41,21 +41,22 @@ def s3_record_kind(spark, sf_dir):
 
 
 def s4_send(spark, sf_dir):
-    calls = inputs.handler_calls(spark, sf_dir).filter("NOT failed")
+    calls = inputs.handler_calls(spark, sf_dir)
     sent = sinks.outgoing(
         calls, topic="done", key=F.col("key"), group_id="workers",
-        payload=F.struct("offset", "duration_us"),
+        payload=F.struct("offset", "duration_us", "failed"),
     )
-    body = F.from_json("payload", "offset long, duration_us long")
+    body = F.from_json("payload", "offset long, duration_us long, failed boolean")
     return sent.select(
         "topic", "key", body["offset"].alias("offset"), body["duration_us"].alias("duration_us"),
+        body["failed"].alias("failed"),
         F.col("headers")["source-system"].alias("source"),
     )
 
 
 def s5_excise_write(spark, sf_dir):
-    idle = inputs.table(spark, sf_dir, "customer").filter("c_acctbal < 0")
-    gone = sinks.excise_records(idle, topic="customers", key=F.col("c_custkey"), group_id="crm")
+    customers = inputs.table(spark, sf_dir, "customer")
+    gone = sinks.excise_records(customers, topic="customers", key=F.col("c_custkey"), group_id="crm")
     return gone.select(
         "topic", "key", F.col("payload").isNull().alias("tombstone"),
         F.col("headers")["source-system"].alias("source"),
@@ -145,8 +146,10 @@ def f5_dedup_version(spark, sf_dir):
 
 
 def f6_route(spark, sf_dir):
-    timers = inputs.timer_commands(spark, sf_dir).filter("op = 'schedule'").select(
-        "topic", "key", "time", (F.col("offset") % 4 == 0).alias("internal")
+    # every command's time, or the command's own where it names none
+    timers = inputs.timer_commands(spark, sf_dir).select(
+        "topic", "key", F.coalesce("time", "timestamp").alias("time"),
+        (F.col("offset") % 4 == 0).alias("internal"),
     )
     calls = log.route_kinds(inputs.events(spark, sf_dir), timers)
     return calls.groupBy("key", "call").agg(
@@ -180,11 +183,11 @@ WITH {EV} SELECT key, off AS "offset",
   CASE WHEN tomb THEN 'excise' ELSE 'message' END AS record_kind FROM ev""")
 _register(s4_send, """
 SELECT 'done' AS topic, CAST(user_id AS VARCHAR) AS key, event_id AS "offset",
-  CAST(round(value * 1000000) AS BIGINT) AS duration_us, 'workers' AS source
-FROM events WHERE event_type <> 'error'""")
+  CAST(round(value * 1000000) AS BIGINT) AS duration_us, event_type = 'error' AS failed,
+  'workers' AS source FROM events""")
 _register(s5_excise_write, """
 SELECT 'customers' AS topic, CAST(c_custkey AS VARCHAR) AS key, TRUE AS tombstone,
-  'crm' AS source FROM customer WHERE c_acctbal < 0""")
+  'crm' AS source FROM customer""")
 _register(s6_source_tag, f"""
 WITH {EV} SELECT key, off AS "offset", 'relay' AS source,
   CAST(CASE WHEN off % 5 <> 0 THEN 2 ELSE 1 END AS INTEGER) AS n_headers FROM ev""")
@@ -244,7 +247,7 @@ _register(f6_route, f"""
 WITH {inputs.TIMER_COMMANDS}, calls AS (
   SELECT key, CASE WHEN tomb THEN 'on_excise' ELSE 'on_message' END AS call, us FROM ev
   UNION ALL
-  SELECT key, 'on_timer', sec * 1000000 + 400000 FROM tc WHERE op = 'schedule' AND off % 4 <> 0)
+  SELECT key, 'on_timer', coalesce(time_us, us) FROM tc WHERE off % 4 <> 0)
 SELECT key, call, count(*) AS n, max(us) AS last_us FROM calls GROUP BY key, call""")
 _register(j6_offset_skip, f"""
 WITH {EV}, done AS (
