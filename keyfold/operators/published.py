@@ -193,7 +193,9 @@ class _Place:
 
     @staticmethod
     def segments(entry) -> list[tuple[str, int]]:
-        return [(segment.folder, segment.rows) for segment in entry.segments or []]
+        if entry.segments is None:  # a log from before there were segments
+            return [] if entry.retired else [(f"batch_id={entry.batch_id}", 0)]
+        return [(segment.folder, segment.rows) for segment in entry.segments]
 
     def write(self, rows: DataFrame) -> tuple[str, int]:
         """A new segment: its folder and its number of rows, which the files' footers hold."""
