@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from typing import Any
 
@@ -167,6 +167,44 @@ def last_published(
     return entries[0].batch_id if entries and not entries[0].retired else None
 
 
+def rewrite_segments(
+    spark: SparkSession,
+    path: str,
+    hit: Callable[[DataFrame], DataFrame],
+    left: Callable[[DataFrame], DataFrame],
+) -> int:
+    """Replace the segments that hold rows of ``hit`` by what ``left`` keeps of them.
+
+    Covers every batch of every collection and group; returns the number of segments. A
+    batch changes when its log entry does, so readers see it before or after. What was
+    replaced is deleted at the end.
+    """
+    if not folder_names(spark, f"{path}/log"):
+        return 0
+    log = spark.read.schema(_LOG_SCHEMA).parquet(f"{path}/log/*")
+    places = log.select("subsystem", "collection", "kind", "group_id").distinct().collect()
+    done = 0
+    for found in places:
+        named = Row(name=found.collection, kind=found.kind)
+        place = _Place(spark, path, named, found.subsystem, found.group_id)
+        entries = place.entries()
+        live = {segment[0] for entry in entries for segment in place.segments(entry)}
+        new = {}
+        for folder in sorted(live):
+            rows = place.read(folder)
+            if not hit(rows).isEmpty():
+                new[folder] = place.write(left(rows))
+        for entry in entries if new else []:
+            segments = place.segments(entry)
+            if any(folder in new for folder, _ in segments):
+                segments = [new.get(segment[0], segment) for segment in segments]
+                place.enter(entry.batch_id, entry.as_of, segments, entry.retired)
+        if new:
+            place.clean(len(entries))
+        done += len(new)
+    return done
+
+
 class _Place:
     """Where one group publishes one collection."""
 
@@ -197,6 +235,9 @@ class _Place:
             return [] if entry.retired else [(f"batch_id={entry.batch_id}", 0)]
         return [(segment.folder, segment.rows) for segment in entry.segments]
 
+    def read(self, folder: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._folder}/{folder}")
+
     def write(self, rows: DataFrame) -> tuple[str, int]:
         """A new segment: its folder and its number of rows, which the files' footers hold."""
         name = uuid.uuid4().hex
@@ -210,7 +251,7 @@ class _Place:
         """
         parts = []
         for k, (folder, _) in enumerate(segments):
-            part = self._spark.read.parquet(f"{self._folder}/{folder}").withColumn(_SEGMENT, F.lit(k))
+            part = self.read(folder).withColumn(_SEGMENT, F.lit(k))
             if asked is not None:
                 part = part.join(asked.select(*ENTITY).distinct(), ENTITY, "left_semi")
             parts.append(part)

@@ -71,3 +71,29 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the library's own, in whatever store it is."""
     files, place = _file_system(spark, path)
     files.delete(place, True)
+
+
+def file_uri(spark: SparkSession, path: str, decoded: bool = False) -> str:
+    """The full address of a path, encoded as ``_metadata.file_path`` is.
+
+    With ``decoded`` the other way: the path of such an address, as readers take it.
+    """
+    if decoded:
+        return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(path)).toString()
+    files, place = _file_system(spark, path)
+    return files.makeQualified(place).toUri().toString()
+
+
+def delete_file(spark: SparkSession, uri: str) -> None:
+    """Delete the file at an encoded address, if it is still there."""
+    files, place = _file_system(spark, file_uri(spark, uri, decoded=True))
+    files.delete(place, False)
+
+
+def move_file(spark: SparkSession, path: str, folder_uri: str) -> None:
+    """Move a file into the folder at an encoded address, in the same store."""
+    files, place = _file_system(spark, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder_uri))
+    files.mkdirs(folder)
+    if not files.rename(place, spark._jvm.org.apache.hadoop.fs.Path(folder, place.getName())):
+        raise OSError(f"{path}: could not be moved to {folder_uri}")
