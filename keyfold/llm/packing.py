@@ -53,8 +53,7 @@ def pieces(
         encoder, end = WordTokens.shared(path), int(end_id).to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            texts = batch.column(1).to_pylist()
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(texts)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1))):
                 ids, start = ids + end, 0
                 for length in cuts(len(ids) // 4, capacity):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])

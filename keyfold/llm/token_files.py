@@ -147,8 +147,7 @@ def write_tokens(
             if writer is None:
                 sink = store.open_output_stream(own, compression=None)
                 writer = FrameWriter(sink, encoder.wide or end_id > 0xFFFF)
-            texts = batch.column(1).to_pylist()
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(texts)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1))):
                 writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
                 n_docs += 1
                 if doc_id is None:

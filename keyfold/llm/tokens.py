@@ -7,19 +7,22 @@ import os
 import re
 import sys
 import types
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import compress
-from operator import not_
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Bytes of words that a worker keeps with their ids, about: those of late, and as many of
 # the time before, from which words in use come back.
-TABLE_BYTES = 112 << 20
+TABLE_BYTES = 80 << 20
 # What an entry takes beside its letters and ids.
 _ENTRY_BYTES = 190
 # Longer words are encoded, but not kept.
 KEPT_CHARS = 48
+# Bytes of texts whose words are looked up together, about.
+BLOCK_BYTES = 1 << 22
 # Longer texts are cut at safe places before the byte-level encoder sees them.
 PIECE_CHARS = 1 << 16
 
@@ -36,10 +39,10 @@ class WordTokens:
     """Ids of a word-level vocabulary file, as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space and never merges across it, so a text's ids are the
-    ids of its words one after the other. Words are encoded once and remembered; a word of
-    letters with punctuation behind it is the word and the punctuation, if it is still of
-    letters once normalised. Strings of special tokens in a text are these tokens, as when
-    the library encodes it.
+    ids of its words one after the other. Each different word of a block of texts is looked
+    at once. A word of letters with a punctuation mark behind it is the word and the mark,
+    if it is still of letters once normalised. Words are encoded once and remembered.
+    Strings of special tokens in a text are these tokens, as when the library encodes it.
     """
 
     def __init__(self, path: str):
@@ -53,10 +56,10 @@ class WordTokens:
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.wide = len(self._ends) > 1 << 16
-        self._surface: dict[str, bytes] = {"": b""}
+        self._marks = pa.array([*self._each(list(_TAIL)), b""], pa.large_binary())
+        self._known: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
-        self._core: dict[str, bytes] = {"": b""}
-        self._surface_bytes = self._core_bytes = 0
+        self._known_bytes = 0
         # letters whose normal form is of letters
         self._plain: set[str] = set()
 
@@ -76,7 +79,8 @@ class WordTokens:
         found: list[bytes] = []
         for at in range(0, len(words), 4096):
             block = words[at : at + 4096]
-            encoded = self._tokenizer.encode(" ".join(block), add_special_tokens=False)
+            joined = [" ".join(block)]
+            [encoded] = self._tokenizer.encode_batch_fast(joined, add_special_tokens=False)
             ids = np.array(encoded.ids, "<u4")
             ends = np.flatnonzero(self._ends[ids]) + 1
             if len(ends) != len(block) or ends[-1] != len(ids):
@@ -86,43 +90,20 @@ class WordTokens:
             found += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
         return found
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Encode words not known yet; returns those too long to keep."""
-        if self._core_bytes > TABLE_BYTES // 2:
-            self._core, self._core_bytes = {"": b""}, 0
-        known, surface = self._core, self._surface
-        letters, others = set(), set()
-        parts: list[tuple[str, str, str]] = []
-        for word in words:
-            core = word.rstrip(_TAIL)
-            if core.isascii() and core.isalpha() or self._stays_letters(core):
-                tail, core = word[len(core) :], core.lower() if core.isascii() else core
-                if core not in known:
-                    letters.add(core)
-                if tail not in known:
-                    others.add(tail)
-            else:
-                core, tail = word, ""
-                if word not in known:
-                    others.add(word)
-            parts.append((word, core, tail))
-        long: dict[str, bytes] = {}
-        for group, encode in ((list(letters), self._together), (list(others), self._each)):
-            if group:
-                known.update(zip(group, encode(group)))
-        for word, core, tail in parts:
-            ids = known[core] + known[tail] if tail else known[core]
+    def _learnt(
+        self, words: list[str], encode: Callable[[list[str]], list[bytes]]
+    ) -> list[bytes]:
+        """The ids of different words; those not known yet are encoded and, if short, kept."""
+        found = list(map(self._known.get, words))
+        missing = [word for word, ids in zip(words, found) if ids is None]
+        fresh = {word: self._before[word] for word in missing if word in self._before}
+        unknown = [word for word in missing if word not in fresh]
+        fresh.update(zip(unknown, encode(unknown)))
+        for word, ids in fresh.items():
             if len(word) <= KEPT_CHARS:
-                surface[word] = ids
-                self._surface_bytes += _ENTRY_BYTES + len(word) + len(ids)
-            else:
-                long[word] = ids
-        for core in letters | others:
-            if len(core) > KEPT_CHARS:
-                del known[core]
-            else:
-                self._core_bytes += _ENTRY_BYTES + len(core)
-        return long
+                self._known[word] = ids
+                self._known_bytes += _ENTRY_BYTES + len(word) + len(ids)
+        return [fresh[word] if ids is None else ids for word, ids in zip(words, found)]
 
     def _stays_letters(self, core: str) -> bool:
         """Whether a word's normal form, too, is of letters only; some letters gain a mark,
@@ -133,38 +114,63 @@ class WordTokens:
             self._plain.update(c for c in set(core) if self._normal(c).isalpha())
         return self._plain.issuperset(core)
 
-    def ids(self, texts: Sequence[str | None], block: int = 256) -> list[bytes]:
-        """The ids of each text; none for null and empty texts."""
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of different words, one binary value for each."""
+        mark = pc.index_in(
+            pc.utf8_slice_codeunits(words, -1), value_set=pa.array(list(_TAIL), words.type)
+        )
+        mark = mark.fill_null(len(_TAIL)).to_numpy()
+        marked = pa.array(mark < len(_TAIL))
+        cores = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        cores = pc.ascii_lower(cores).dictionary_encode()
+        names, index = cores.dictionary.to_pylist(), cores.indices.to_numpy()
+        letters = pc.ascii_is_alpha(cores.dictionary).to_numpy(zero_copy_only=False).copy()
+        for k in np.flatnonzero(~letters).tolist():
+            letters[k] = self._stays_letters(names[k])
+        split = letters[index]
+        whole = words.filter(pa.array(~split)).to_pylist()
+        ids = self._learnt(list(compress(names, letters)), self._together)
+        ids += self._learnt(whole, self._each)
+        # letters come first, then the words that are not split
+        place = (np.cumsum(letters) - 1)[index]
+        place = np.where(split, place, letters.sum() - 1 + np.cumsum(~split))
+        return pc.binary_join_element_wise(
+            pa.array(ids, pa.large_binary()).take(pa.array(place)),
+            self._marks.take(pa.array(np.where(split, mark, len(_TAIL)))),
+            pa.scalar(b"", pa.large_binary()),
+        )
+
+    def _block(self, texts: pa.Array) -> list[bytes]:
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        ids = self._words(words.dictionary).take(words.indices)
+        _, ends, data = ids.buffers()
+        cuts = np.frombuffer(ends, "<i8", len(ids) + 1)[split.offsets.to_numpy()].tolist()
+        raw = memoryview(data if data is not None else b"")
+        return [raw[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def ids(
+        self, texts: pa.Array | Sequence[str | None], block: int = BLOCK_BYTES
+    ) -> list[bytes]:
+        """The ids of each text; none for null and empty texts.
+
+        Texts are taken together up to ``block`` bytes, a longer one by itself.
+        """
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        texts = texts.fill_null("")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
         found: list[bytes] = []
-        for at in range(0, len(texts), block):
-            if self._surface_bytes > TABLE_BYTES:
-                self._before, self._surface, self._surface_bytes = self._surface, {"": b""}, 0
-            split = [_words(text) for text in texts[at : at + block]]
-            missing: set[str] = set()
-            for words in split:
-                # only the empty word has no ids
-                missing.update(compress(words, map(not_, map(self._surface.get, words))))
-            missing.discard("")
-            table = self._surface
-            if missing:
-                back = {w: self._before[w] for w in missing if w in self._before}
-                table.update(back)
-                self._surface_bytes += sum(map(len, back)) + _ENTRY_BYTES * len(back)
-                long = self._learn(missing.difference(back))
-                table = {**table, **long} if long else table
-            found += [b"".join(map(table.__getitem__, words)) for words in split]
+        while len(found) < len(texts):
+            if self._known_bytes > TABLE_BYTES:
+                self._before, self._known, self._known_bytes = self._known, {}, 0
+            at = len(found)
+            most = (sizes[at - 1] if at else 0) + block
+            n = max(1, int(np.searchsorted(sizes, most, "right")) - at)
+            found += self._block(texts.slice(at, n))
         return found
 
 
-def _words(text: str | None) -> list[str]:
-    if not text:
-        return []
-    for space in "\n\t\r\x0b\x0c":
-        if space in text:
-            text = text.replace(space, " ")
-    return text.split(" ")
-
-
 class ByteTokens:
     """Byte-level ids of a rank file, by the tiktoken library, without special tokens.
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -63,6 +65,32 @@ def test_long_words_and_full_tables(tokenizer, monkeypatch):
     assert words.ids(texts, block=1) == expected
 
 
+def test_words_of_a_block_are_looked_at_once_each(tokenizer):
+    some = ["Some", "words", "words,", "wörds.", "WORDS!?", "12,", "don't.", "...", "x" * 60 + "."]
+    text = " ".join(some * 40_000)
+    expected = word_ids(tokenizer, " ".join(some), 0)[:-1].tobytes() * 40_000
+    words = WordTokens(WORDS)
+    words.ids([" ".join(some)])
+    tracemalloc.start()
+    found = words.ids([text])
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == [expected]
+    # beside the text and its ids no object for every word
+    assert most < len(text) + len(expected) + 20 * len(some) * 40_000
+
+
+def test_columns_in_blocks(tokenizer):
+    texts = [None, "", " \t", "Words, words.\nWORDS", "a\x1cb c\x85d. e\xa0f,", "É é, Éa!", None, "x" * 50 + ":"]
+    expected = [word_ids(tokenizer, t, 0)[:-1].tobytes() for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["before", *texts], kind).slice(1)
+        for block in (1, 7, 25, 1 << 22):
+            assert WordTokens(WORDS).ids(column, block) == expected
+        assert WordTokens(WORDS).ids(column.slice(0, 3)) == expected[:3]
+        assert WordTokens(WORDS).ids(column.slice(0, 0)) == []
+
+
 def test_letters_that_gain_marks_and_special_tokens(tokenizer):
     letters = (chr(c) for c in range(0x80, 0x30000) if chr(c).isalpha())
     marked = [c for c in letters if not tokenizer.normalizer.normalize_str(c).isalpha()]
