@@ -71,8 +71,12 @@ class WordTokens:
         return held["word", path]
 
     def _each(self, words: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        found: list[bytes] = []
+        for at in range(0, len(words), 4096):
+            block = words[at : at + 4096]
+            encoded = self._tokenizer.encode_batch_fast(block, add_special_tokens=False)
+            found += [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        return found
 
     def _together(self, words: list[str]) -> list[bytes]:
         """Words of letters only, many in one call, told apart by their end marks."""

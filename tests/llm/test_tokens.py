@@ -80,6 +80,21 @@ def test_words_of_a_block_are_looked_at_once_each(tokenizer):
     assert most < len(text) + len(expected) + 20 * len(some) * 40_000
 
 
+def test_many_words_are_encoded_in_bounded_calls(tokenizer):
+    class Counted:
+        sizes = []
+
+        def encode_batch_fast(self, words, **options):
+            self.sizes.append(len(words))
+            return tokenizer.encode_batch_fast(words, **options)
+
+    text = " ".join(map(str, range(10_000)))
+    words = WordTokens(WORDS)
+    words._tokenizer = Counted()
+    assert words.ids([text]) == [word_ids(tokenizer, text, 0)[:-1].tobytes()]
+    assert sum(Counted.sizes) == 10_000 and max(Counted.sizes) <= 4096
+
+
 def test_columns_in_blocks(tokenizer):
     texts = [None, "", " \t", "Words, words.\nWORDS", "a\x1cb c\x85d. e\xa0f,", "É é, Éa!", None, "x" * 50 + ":"]
     expected = [word_ids(tokenizer, t, 0)[:-1].tobytes() for t in texts]
