@@ -20,6 +20,7 @@ from keyfold.operators.published import last_published, publish, publish_changes
 from keyfold.session import configure
 from keyfold.sources.events import ENTITY
 from keyfold.streaming.handles import ENDS_CELL
+from keyfold.streaming.lanes import EVENT, run_in_lanes
 from keyfold.streaming.messages import check_handler
 from keyfold.streaming.processor import OUTPUT_SCHEMA, KeyedProcessor
 
@@ -78,7 +79,9 @@ def process_keyed(
     ``check_no_late_rows``. ``with_state`` adds rows with each key's final state to a
     batch run. ``telemetry`` adds a row for every call, not only for those that fail.
     ``timeout`` cancels ``async`` handlers and interrupts plain ones; such a call fails as
-    a transient error. It defaults to 80 % of the stall threshold.
+    a transient error. It defaults to 80 % of the stall threshold. In a batch without
+    collections and ``idempotence_ttl``, and not in ``pipeline`` mode, keys whose calls wait do
+    not hold up the task's other keys; then a handler may run in several processes of a task.
 
     ``out_of_order`` is for a stream's rows that come in a later micro-batch than one
     behind them, as from files listed out of order. ``fail`` keeps each key's last offset
@@ -121,12 +124,15 @@ def process_keyed(
         delay = f"{duration_us(lateness, 'lateness') // 1000} milliseconds"
         rows = rows.withWatermark("timestamp", delay)
     else:
-        # The state store has one partition per shuffle partition; sorting before it
+        # With a state store it has one partition per shuffle partition; sorting before it
         # lets the handler read a key's events as they come, with nothing buffered.
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.repartition(partitions, *ENTITY).sortWithinPartitions(
             *ENTITY, "partition", "offset"
         )
+        if not collections and mode != "pipeline" and idempotence_ttl is None:
+            # Nothing is kept from call to call but timers, so no state store is needed.
+            return rows.select(*EVENT).mapInArrow(run_in_lanes(processor), OUTPUT_SCHEMA)
         _ = spark.streams.active  # starts the state store coordinator
     return rows.groupBy(*ENTITY).transformWithState(
         processor, OUTPUT_SCHEMA, "Append", "EventTime"
